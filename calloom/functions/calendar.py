@@ -66,8 +66,11 @@ def seconds_of_day(ts: Column) -> Column:
 
 def time_text(seconds: Column) -> Column:
     """Seconds of day as ``HH:mm:ss``."""
-    parts = [F.floor(seconds / 3600), F.floor(seconds / 60) % 60, seconds % 60]
-    return F.concat_ws(":", *[F.lpad(p.cast("string"), 2, "0") for p in parts])
+    hours, minutes, rest = [
+        F.lpad(part.cast("string"), 2, "0")
+        for part in (F.floor(seconds / 3600), F.floor(seconds / 60) % 60, seconds % 60)
+    ]
+    return F.concat(hours, F.lit(":"), minutes, F.lit(":"), rest)
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:

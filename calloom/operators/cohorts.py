@@ -90,16 +90,17 @@ def sequence_events(df: DataFrame, by: Sequence[str], order: Sequence[str], slic
 
 
 def trigger_dates(df: DataFrame, triggers: Mapping[str, Column], by: Sequence[str], date: str,
-                  order: Sequence[str], slices: Sequence[Column]) -> DataFrame:
+                  order: Sequence[str], slices: Sequence[Column], next_date: str | None = None) -> DataFrame:
     """Per trigger: its date on rows that are triggers, and the date on the next row (null if that is none).
 
-    Adds ``<name>_trigger_event_date`` and ``next_<name>_trigger_event_date``.
+    Adds ``<name>_trigger_event_date`` and ``next_<name>_trigger_event_date``; ``next_date`` names a column
+    for the date of the next row of any kind.
     """
     marked = df.withColumns({f"{n}_trigger_event_date": F.when(p, F.col(date)) for n, p in triggers.items()})
-    return ordered(
-        marked, by, order, slices,
-        lead={f"next_{n}_trigger_event_date": f"{n}_trigger_event_date" for n in triggers},
-    )
+    following = {f"next_{n}_trigger_event_date": f"{n}_trigger_event_date" for n in triggers}
+    if next_date:
+        following[next_date] = date
+    return ordered(marked, by, order, slices, lead=following)
 
 
 def attribute_conversion(trigger: str, next_trigger: str, target: str, days: int = 30) -> Column:

@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from calloom.functions.calendar import Date, as_date, days, iso_week, iso_weekday, within
+from calloom.functions.calendar import Date, as_date, days, iso_weekday, within
 from calloom.operators.keyed import attach
 
 
@@ -202,19 +202,23 @@ def carry_backlog(df: DataFrame, workload: str, gap: str, order: Sequence[str],
 
 
 def trailing_rate(df: DataFrame, rates: Mapping[str, tuple[str, str]], inside: Column,
-                  grains: Mapping[str, Sequence[str]]) -> DataFrame:
+                  grains: Mapping[str, Sequence[str]], zero: Sequence[str] = ()) -> DataFrame:
     """Ratios of sums over the rows where ``inside`` holds, next to every row, at several grains.
 
     ``rates`` maps a name to (numerator, denominator); ``grains`` maps a suffix to group columns, none for
-    the whole. The rows inside are summed once at the finest grain, and those sums are rolled up.
+    the whole. The rows inside are summed once at the finest grain, and those sums are rolled up. Columns
+    listed in ``zero`` are 0 instead of null where either sum is 0.
     """
     measures = sorted({c for pair in rates.values() for c in pair})
     finest = list(dict.fromkeys(c for by in grains.values() for c in by))
     base = df.filter(inside).groupBy(*finest).agg(*[F.sum(c).alias(c) for c in measures])
     for suffix, by in grains.items():
-        ratios = {
-            f"{name}{suffix}": F.try_divide(F.sum(num), F.sum(den)) for name, (num, den) in rates.items()
-        }
+        ratios = {}
+        for name, (num, den) in rates.items():
+            ratio = F.try_divide(F.sum(num), F.sum(den))
+            if f"{name}{suffix}" in zero:
+                ratio = F.when((F.sum(num) == 0) | (F.sum(den) == 0), 0.0).otherwise(ratio)
+            ratios[f"{name}{suffix}"] = ratio
         if by:
             rolled = base.groupBy(F.struct(*by).alias("__grain")).agg(*[c.alias(n) for n, c in ratios.items()])
             df = df.withColumn("__grain", F.struct(*by)).join(rolled, "__grain", "left").drop("__grain")
@@ -229,9 +233,3 @@ def mask_to_window(df: DataFrame, columns: Sequence[str], inside: Column) -> Dat
     """Blank the columns on rows outside the window."""
     return df.withColumns({c: F.when(inside, F.col(c)) for c in columns})
 
-
-__all__ = [
-    "capacity", "carry_backlog", "carry_forward", "disaggregate", "follow_on_calls", "iso_week", "lead_demand",
-    "mask_to_window", "shift_demand", "shifted_ratio", "spread_backlog", "staffing_model", "trailing_rate",
-    "trailing_ratio", "trailing_sum", "weekday_share", "weekly_to_daily", "workdays_only",
-]

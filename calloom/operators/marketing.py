@@ -48,12 +48,13 @@ def merge_facts(first: DataFrame, others: Mapping[str, DataFrame], keys: Sequenc
 
 
 def allocate(df: DataFrame, amounts: Sequence[str], weight: str, part: str, grains: Sequence[Sequence[str]],
-             spend: str | None = None) -> DataFrame:
+             spend: str | None = None, shares: Sequence[str] = ()) -> DataFrame:
     """Split amounts that stand undivided on every ``part`` (e.g. device) of a group.
 
     ``grains`` are group columns from fine to coarse. An amount is split by the part's share of the weight
     in the first grain that has any weight, else equally over the parts that carry ``spend`` in the finest
-    grain. The amount columns are replaced. Shares are aggregates joined back, so a large group is not
+    grain. The amount columns are replaced; ``shares`` names columns for the share per grain and the equal
+    share, if they are wanted. Shares are aggregates joined back, so a large group is not
     gathered in one task.
     """
     spend = spend or amounts[0]
@@ -64,13 +65,14 @@ def allocate(df: DataFrame, amounts: Sequence[str], weight: str, part: str, grai
     carries = F.col(spend).isNotNull()
     rows = attach(rows, list(grains[0]), __parts=F.count_distinct(F.when(carries, F.col(part))))
     equal = F.when(carries, F.try_divide(F.lit(1), F.col("__parts")))
+    ratios = [F.try_divide(f"__part{n}", f"__all{n}") for n in range(len(grains))]
     share = None
-    for n in range(len(grains)):
-        known, ratio = F.col(f"__all{n}").isNotNull(), F.try_divide(f"__part{n}", f"__all{n}")
+    for n, ratio in enumerate(ratios):
+        known = F.col(f"__all{n}").isNotNull()
         share = F.when(known, ratio) if share is None else share.when(known, ratio)
-    rows = rows.withColumn("__share", share.otherwise(equal))
+    rows = rows.withColumns({"__share": share.otherwise(equal), **dict(zip(shares, [*ratios, equal]))})
     rows = rows.withColumns({c: F.col(c) * F.col("__share") for c in amounts})
-    return rows.select(*df.columns)
+    return rows.select(*df.columns, *shares)
 
 
 def recode(column: Column, classes: Mapping[str, str]) -> Column:

@@ -9,7 +9,7 @@ from calloom.operators import (
     attribution as att, forecast as fc, keyed, marketing as mk, shops, snapshots as snap,
 )
 from calloom.operators.ordered import ordered
-from calloom.operators.spine import densify, horizon
+from calloom.operators.spine import densify, each_class, horizon
 from checks.registry import query
 
 AS_OF = "2001-06-01"
@@ -575,7 +575,7 @@ def _(t):
     leads = t.lineitem.filter("l_quantity > 45").groupBy(day, "l_returnflag", "l_linestatus").agg(
         F.count("*").alias("leads"))
     rows = (
-        spend.join(t.lineitem.select("l_linestatus").distinct().hint("broadcast"))
+        each_class(spend, t.lineitem, "l_linestatus")
         .join(leads, ["date", "l_returnflag", "l_linestatus"], "left")
         .withColumn("month", cal.month_key(F.col("date"))))
     split = mk.allocate(rows, ["spend", "clicks"], "leads", "l_linestatus",
