@@ -47,13 +47,14 @@ def funnel_stage(df: DataFrame, event: str, names: Mapping[str, tuple[int, str]]
 
 
 def cohort_date(df: DataFrame, by: Sequence[str], condition: Column, date: str,
-                name: str = "cohort_date") -> DataFrame:
+                name: str = "cohort_date", source: DataFrame | None = None) -> DataFrame:
     """First date on which the condition held for the key, on every row of the key."""
-    return attach(df, by, **{name: F.min(F.when(condition, F.col(date)))})
+    return attach(df, by, source, **{name: F.min(F.when(condition, F.col(date)))})
 
 
 def rerun_cohort_date(df: DataFrame, by: Sequence[str], condition: Column, date: str, order: Sequence[str],
-                      classic: str = "cohort_date", name: str = "cohort_date_alt") -> DataFrame:
+                      classic: str = "cohort_date", name: str = "cohort_date_alt",
+                      source: DataFrame | None = None) -> DataFrame:
     """Cohort date of a repeated campaign run.
 
     The second date on which the condition held for the key (the first, if it held once), valid from the
@@ -64,7 +65,7 @@ def rerun_cohort_date(df: DataFrame, by: Sequence[str], condition: Column, date:
     """
     place = F.struct(*order)
     by_day = (
-        df.filter(condition)
+        (df if source is None else source).filter(condition)
         .groupBy(key_of(by).alias(KEY), F.col(date).alias("__day"))
         .agg(F.count(F.lit(1)).alias("__n"), F.min(place).alias("__from"))
     )
@@ -84,23 +85,27 @@ def rerun_cohort_date(df: DataFrame, by: Sequence[str], condition: Column, date:
 
 
 def sequence_events(df: DataFrame, by: Sequence[str], order: Sequence[str], slices: Sequence[Column],
-                    asc: str = "user_event_rank_asc", desc: str = "user_event_rank_desc") -> DataFrame:
+                    asc: str = "user_event_rank_asc", desc: str = "user_event_rank_desc",
+                    source: DataFrame | None = None) -> DataFrame:
     """Number the rows of a key from the first and from the last."""
-    return ordered(df, by, order, slices, row_number=asc, row_number_desc=desc)
+    return ordered(df, by, order, slices, source=source, row_number=asc, row_number_desc=desc)
 
 
 def trigger_dates(df: DataFrame, triggers: Mapping[str, Column], by: Sequence[str], date: str,
-                  order: Sequence[str], slices: Sequence[Column], next_date: str | None = None) -> DataFrame:
+                  order: Sequence[str], slices: Sequence[Column], next_date: str | None = None,
+                  source: DataFrame | None = None) -> DataFrame:
     """Per trigger: its date on rows that are triggers, and the date on the next row (null if that is none).
 
     Adds ``<name>_trigger_event_date`` and ``next_<name>_trigger_event_date``; ``next_date`` names a column
     for the date of the next row of any kind.
     """
-    marked = df.withColumns({f"{n}_trigger_event_date": F.when(p, F.col(date)) for n, p in triggers.items()})
+    marks = {f"{n}_trigger_event_date": F.when(p, F.col(date)) for n, p in triggers.items()}
+    marked = df.withColumns(marks)
+    source = marked if source is None else source.withColumns(marks)
     following = {f"next_{n}_trigger_event_date": f"{n}_trigger_event_date" for n in triggers}
     if next_date:
         following[next_date] = date
-    return ordered(marked, by, order, slices, lead=following)
+    return ordered(marked, by, order, slices, source=source, lead=following)
 
 
 def attribute_conversion(trigger: str, next_trigger: str, target: str, days: int = 30) -> Column:
@@ -113,9 +118,9 @@ def attribute_conversion(trigger: str, next_trigger: str, target: str, days: int
 
 
 def single_credit(df: DataFrame, flag: str, by: Sequence[str], order: Sequence[str | Column],
-                  name: str | None = None) -> DataFrame:
+                  name: str | None = None, source: DataFrame | None = None) -> DataFrame:
     """Leave the flag on one row per key: the greatest in ``order`` among the flagged rows."""
     place = F.struct(*order)
-    best = attach(df, by, __best=F.max(F.when(F.col(flag) == 1, place)))
+    best = attach(df, by, source, __best=F.max(F.when(F.col(flag) == 1, place)))
     credited = F.when((F.col(flag) == 1) & (place == F.col("__best")), 1).otherwise(0)
     return best.withColumn(name or flag, credited).drop("__best")

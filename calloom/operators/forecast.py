@@ -202,7 +202,8 @@ def carry_backlog(df: DataFrame, workload: str, gap: str, order: Sequence[str],
 
 
 def trailing_rate(df: DataFrame, rates: Mapping[str, tuple[str, str]], inside: Column,
-                  grains: Mapping[str, Sequence[str]], zero: Sequence[str] = ()) -> DataFrame:
+                  grains: Mapping[str, Sequence[str]], zero: Sequence[str] = (),
+                  source: DataFrame | None = None) -> DataFrame:
     """Ratios of sums over the rows where ``inside`` holds, next to every row, at several grains.
 
     ``rates`` maps a name to (numerator, denominator); ``grains`` maps a suffix to group columns, none for
@@ -211,7 +212,7 @@ def trailing_rate(df: DataFrame, rates: Mapping[str, tuple[str, str]], inside: C
     """
     measures = sorted({c for pair in rates.values() for c in pair})
     finest = list(dict.fromkeys(c for by in grains.values() for c in by))
-    base = df.filter(inside).groupBy(*finest).agg(*[F.sum(c).alias(c) for c in measures])
+    base = (df if source is None else source).filter(inside).groupBy(*finest).agg(*[F.sum(c).alias(c) for c in measures])
     for suffix, by in grains.items():
         ratios = {}
         for name, (num, den) in rates.items():

@@ -19,19 +19,25 @@ def key_of(columns: Sequence[str | Column]) -> Column:
     return F.struct(*columns)
 
 
-def attach(df: DataFrame, by: Sequence[str | Column], **aggregates: Column) -> DataFrame:
-    """Add aggregates over the rows that share the key ``by``; null keys form a group of their own."""
+def attach(df: DataFrame, by: Sequence[str | Column], source: DataFrame | None = None,
+           **aggregates: Column) -> DataFrame:
+    """Add aggregates over the rows that share the key ``by``; null keys form a group of their own.
+
+    ``source`` is an earlier form of the same rows to aggregate from. Steps on one table that all
+    aggregate from it read it once each, instead of each repeating all steps before.
+    """
+    source = df if source is None else source
     if not by:
-        return attach_total(df, **aggregates)
-    keyed = df.withColumn(KEY, key_of(by))
-    per_key = keyed.groupBy(KEY).agg(*[agg.alias(name) for name, agg in aggregates.items()])
+        return attach_total(df, source, **aggregates)
+    per_key = source.groupBy(key_of(by).alias(KEY)).agg(*[agg.alias(name) for name, agg in aggregates.items()])
     kept = [c for c in df.columns if c not in aggregates]
-    return keyed.select(KEY, *kept).join(per_key, KEY).drop(KEY)
+    return df.select(key_of(by).alias(KEY), *kept).join(per_key, KEY).drop(KEY)
 
 
-def attach_total(df: DataFrame, **aggregates: Column) -> DataFrame:
+def attach_total(df: DataFrame, source: DataFrame | None = None, **aggregates: Column) -> DataFrame:
     """Add aggregates over all rows, each as a scalar subquery of one value."""
-    return df.withColumns({name: df.agg(agg.alias(name)).scalar() for name, agg in aggregates.items()})
+    source = df if source is None else source
+    return df.withColumns({name: source.agg(agg.alias(name)).scalar() for name, agg in aggregates.items()})
 
 
 def pick_by(order: Sequence[str], values: Sequence[str], last: bool = False) -> Column:
@@ -52,7 +58,8 @@ def conditional_counts(df: DataFrame, by: Sequence[str], counts: Mapping[str, Co
     return df.groupBy(*by).agg(*columns)
 
 
-def with_totals(df: DataFrame, grains: Mapping[str, tuple[Sequence[str], str]]) -> DataFrame:
+def with_totals(df: DataFrame, grains: Mapping[str, tuple[Sequence[str], str]],
+                source: DataFrame | None = None) -> DataFrame:
     """Add sums over wider groups: ``{name: (group columns, summed column)}``.
 
     Sums over the same group share one aggregation.
@@ -60,8 +67,9 @@ def with_totals(df: DataFrame, grains: Mapping[str, tuple[Sequence[str], str]])
     groups: dict[tuple[str, ...], dict[str, Column]] = {}
     for name, (by, column) in grains.items():
         groups.setdefault(tuple(by), {})[name] = F.sum(column)
+    source = df if source is None else source
     for by, aggregates in groups.items():
-        df = attach(df, list(by), **aggregates)
+        df = attach(df, list(by), source, **aggregates)
     return df
 
 

@@ -60,10 +60,10 @@ def allocate(df: DataFrame, amounts: Sequence[str], weight: str, part: str, grai
     spend = spend or amounts[0]
     rows = df
     for n, grain in enumerate(grains):
-        rows = attach(rows, list(grain), **{f"__all{n}": F.sum(weight)})
-        rows = attach(rows, [*grain, part], **{f"__part{n}": F.sum(weight)})
+        rows = attach(rows, list(grain), df, **{f"__all{n}": F.sum(weight)})
+        rows = attach(rows, [*grain, part], df, **{f"__part{n}": F.sum(weight)})
     carries = F.col(spend).isNotNull()
-    rows = attach(rows, list(grains[0]), __parts=F.count_distinct(F.when(carries, F.col(part))))
+    rows = attach(rows, list(grains[0]), df, __parts=F.count_distinct(F.when(carries, F.col(part))))
     equal = F.when(carries, F.try_divide(F.lit(1), F.col("__parts")))
     ratios = [F.try_divide(f"__part{n}", f"__all{n}") for n in range(len(grains))]
     share = None

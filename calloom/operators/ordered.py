@@ -39,6 +39,7 @@ def ordered(
     order: Sequence[str],
     slices: Sequence[Column],
     *,
+    source: DataFrame | None = None,
     row_number: str | None = None,
     row_number_desc: str | None = None,
     total: str | None = None,
@@ -53,7 +54,8 @@ def ordered(
 
     ``slices`` cut a key: they must not decrease along ``order`` (lexicographically). ``lag``, ``lead``,
     ``running_max``, ``running_sum``, ``key_sum`` and ``key_max`` (over the whole key) map a new column
-    to its source column; running values include the row.
+    to its source column; running values include the row. ``source`` is an earlier form of the same
+    rows from which the summaries can be taken (see ``calloom.operators.keyed.attach``).
     """
     lag, lead, running_max = dict(lag or {}), dict(lead or {}), dict(running_max or {})
     running_sum, key_sum, key_max = dict(running_sum or {}), dict(key_sum or {}), dict(key_max or {})
@@ -78,7 +80,7 @@ def ordered(
     key = Window.partitionBy(F.col(CELL)["key"])
     by_slice = key.orderBy(F.col(CELL)["slice"])
     before = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-    cells = rows.groupBy(CELL).agg(*summary)
+    cells = (df if source is None else source).withColumn(CELL, cell).groupBy(CELL).agg(*summary)
     incoming = {
         "__n": F.col("n"),
         "__skip": F.coalesce(F.sum("n").over(before), F.lit(0)),

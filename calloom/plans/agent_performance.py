@@ -12,6 +12,7 @@ from calloom.operators.ordered import ordered
 from calloom.operators.snapshots import dedupe_status, first_version, reset_after
 from calloom.operators.spine import entity_spine
 from calloom.plans import vocabulary as v
+from calloom.session import stage
 from calloom.sources import Tables
 
 APPOINTMENTS_PER_HOUR_TARGET = 0.8
@@ -142,14 +143,15 @@ def agent_performance(tables: Tables, performance: DataFrame, workforce: DataFra
         .join(appointment_outcomes(tables), key, "left")
         .withColumns({"reporting_week": iso_week(F.col("date")), "reporting_month": month_key(F.col("date"))})
     )
-    rows = dedupe_status(rows, key, "agent_name", "agent_status", ["agent_email", "agent_team", "agent_status"])
+    days = stage(rows)
+    rows = dedupe_status(days, key, "agent_name", "agent_status", ["agent_email", "agent_team", "agent_status"])
     rows = with_totals(rows, {
         "worked_hours_month": (["reporting_month", "agent_name"], "worked_hours"),
         "num_cust_sched_app_total": (["date"], "num_cust_sched_app"),
         "num_cust_qscreen_total": (["date"], "num_cust_qscreen"),
         "num_cust_sale_total": (["date"], "num_cust_sale"),
         "worked_hours_total": (["date"], "worked_hours"),
-    })
+    }, source=days)
 
     grains = {"": [], "_team": ["agent_team"], "_agent": ["agent_name"]}
     prefix = "rolling_average_"
@@ -160,7 +162,8 @@ def agent_performance(tables: Tables, performance: DataFrame, workforce: DataFra
     shown: list[str] = []
     for rates, oldest, newest in ((recent, 29, 0), (settled, 50, 22)):
         inside = within(F.col("date"), as_of, oldest, newest)
-        rows = trailing_rate(rows, rates, inside, grains, zero=[f"{prefix}qualified_screening_sales_ratio_agent"])
+        rows = trailing_rate(rows, rates, inside, grains, source=days,
+                             zero=[f"{prefix}qualified_screening_sales_ratio_agent"])
         columns = [f"{name}{suffix}" for name in rates for suffix in grains]
         rows = mask_to_window(rows, columns, inside)
         shown += columns

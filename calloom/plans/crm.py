@@ -12,6 +12,7 @@ from calloom.operators.cohorts import (
 from calloom.operators.keyed import first_id, latest_of_type, lookup
 from calloom.operators.ordered import id_range, ordered
 from calloom.plans import vocabulary as v
+from calloom.session import stage
 from calloom.sources import Tables
 
 EVENT_KEYS = ["user_email", "event_date", "event_timestamp", "event_type", "event_name"]
@@ -54,13 +55,13 @@ def crm_events(tables: Tables) -> DataFrame:
     rows = rows.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
     rows = rows.join(names, "user_email", "left").withColumn("activity_date", F.col("event_date").cast("date"))
 
-    rows = funnel_stage(rows, "event_name", v.MAIL_STAGES, "email_type")
+    rows = base_rows = stage(funnel_stage(rows, "event_name", v.MAIL_STAGES, "email_type"))
     order = ["activity_date", "email_type_rank", "email_event_rank", "clang_uuid", "event_timestamp", "event_type",
              "crm_category", "email_type", "event_name", "copy"]
     by, sent = ["user_email", "email_type"], F.col("email_event_rank") == 1
-    rows = cohort_date(rows, by, sent, "activity_date")
-    rows = rerun_cohort_date(rows, by, sent, "activity_date", order)
-    rows = sequence_events(rows, ["user_email"], order, [F.col("activity_date")])
+    rows = cohort_date(rows, by, sent, "activity_date", source=base_rows)
+    rows = rerun_cohort_date(rows, by, sent, "activity_date", order, source=base_rows)
+    rows = sequence_events(rows, ["user_email"], order, [F.col("activity_date")], source=base_rows)
     return rows.select(
         "activity_date", "cohort_date", "cohort_date_alt", "crm_category", "event_type", "email_type_rank",
         "email_type", "email_type_concat", "email_event_rank", "email_event", "email_event_concat", "user_email",
@@ -85,13 +86,14 @@ def crm_report(tables: Tables, events: DataFrame) -> DataFrame:
     })
     slices = [id_range("user_event_rank_asc")]
     # within a date the event number already orders by type rank, event rank and user id
+    mails = rows
     rows = ordered(rows, ["user_email", "activity_date"], ["user_event_rank_asc"], slices,
                    row_number_desc="user_event_date_rank_desc")
     rows = trigger_dates(
         rows,
         {"oht": mail.isin(*v.TEST_MAILS) | (type_ == v.RETARGET_CAMPAIGN),
          "appointment": type_.isin(*v.APPOINTMENT_CAMPAIGNS)},
-        ["user_email"], "activity_date", ["user_event_rank_asc"], slices, next_date="next_email_event_date",
+        ["user_email"], "activity_date", ["user_event_rank_asc"], slices, next_date="next_email_event_date", source=mails,
     )
 
     # a lead known under several e-mails counts once per date: the e-mail is not reported
@@ -122,8 +124,9 @@ def crm_report(tables: Tables, events: DataFrame) -> DataFrame:
             "oht_trigger_event_date", "next_oht_trigger_event_date", "oht_date"),
     })
     latest = ["activity_date", -F.col("user_event_date_rank_desc"), "lead_date", "oht_date", "user_event_rank_asc"]
+    rows = flagged = stage(rows)
     for flag in ("post_crm_appointment_flag", "post_crm_oht_flag"):
-        rows = single_credit(rows, flag, ["user_email"], latest)
+        rows = single_credit(rows, flag, ["user_email"], latest, source=flagged)
     to_scheduled = F.when(
         F.col("post_crm_appointment_flag") == 1, F.datediff("last_appointment_scheduled_date", "cohort_date"))
     return rows.withColumn("days_sent_to_appointment_scheduled", to_scheduled).select(

@@ -9,6 +9,7 @@ from calloom.operators.keyed import kpis_by_dim
 from calloom.operators.marketing import allocate, merge_facts, recode
 from calloom.operators.spine import each_class
 from calloom.plans import vocabulary as v
+from calloom.session import stage
 from calloom.sources import Tables
 
 GROUP = ["marketing_channel", "campaign", "lead_form_type", "lead_form_mode"]
@@ -59,6 +60,6 @@ def market_fit(tables: Tables) -> DataFrame:
     rows = rows.withColumns({
         "reporting_week": iso_week(F.col("date")), "reporting_month": month_key(F.col("date"))})
     return allocate(
-        rows, ["marketing_spend", "num_clicks"], "num_leads", "device_type",
+        stage(rows), ["marketing_spend", "num_clicks"], "num_leads", "device_type",
         [["date", *GROUP], ["reporting_month", *GROUP]], spend="marketing_spend",
         shares=["device_type_share_day", "device_type_share_month", "device_type_share_raw"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,24 +25,30 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_folder: list[tempfile.TemporaryDirectory] = []
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster.
+    """The shared checkpoint folder of the cluster, from ``spark.checkpoint.dir``.
 
-    It is read from ``spark.checkpoint.dir``. Only a local session without that setting (a test) gets a
-    folder of its own.
+    Only a local session without that setting (a test) gets a folder of its own, for as long as it lives.
     """
-    context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="calloom-checkpoint-")
+    if not _own_folder:
+        _own_folder.append(tempfile.TemporaryDirectory(prefix="calloom-"))
+    return _own_folder[0].name
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from the written copy; survives lost executors."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(checkpoint_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+def stage(df: DataFrame) -> DataFrame:
+    """Write an intermediate table to the checkpoint folder and go on from the written copy.
+
+    For results that are read several times below: they are computed once, later steps read only the
+    columns they need, and a lost executor costs no more than reading again.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/calloom-stages/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
