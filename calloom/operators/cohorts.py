@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from calloom.functions.text import first_match
-from calloom.operators.keyed import KEY, attach, key_of
+from calloom.operators.keyed import Key, attach
 from calloom.operators.ordered import ordered
 
 
@@ -63,25 +63,26 @@ def rerun_cohort_date(df: DataFrame, by: Sequence[str], condition: Column, date:
 
     Rows are counted per key and day first, so the window spans the days of one key.
     """
-    place = F.struct(*order)
+    place, source = F.struct(*order), df if source is None else source
+    key = Key(source, by)
     by_day = (
-        (df if source is None else source).filter(condition)
-        .groupBy(key_of(by).alias(KEY), F.col(date).alias("__day"))
+        key.on(source).filter(condition)
+        .groupBy(*key.names, F.col(date).alias("__day"))
         .agg(F.count(F.lit(1)).alias("__n"), F.min(place).alias("__from"))
     )
-    day = Window.partitionBy(KEY).orderBy("__day")
+    day = Window.partitionBy(*key.names).orderBy("__day")
     start = (
         by_day.withColumns({"__nth": F.row_number().over(day), "__next": F.lead("__day").over(day)})
         .filter(F.col("__nth") == 1)
         .select(
-            KEY, "__from",
+            *key.names, "__from",
             F.when(F.col("__n") > 1, F.col("__day")).otherwise(F.coalesce("__next", "__day")).alias("__rerun"),
         )
     )
-    rows = df.withColumn(KEY, key_of(by)).join(start, KEY, "left")
+    rows = key.on(df).join(start, key.names, "left")
     carried = F.when(place >= F.col("__from"), F.col("__rerun"))
     value = F.when(F.col(date) >= carried, carried).when(F.col(date) < carried, F.col(classic))
-    return rows.withColumn(name, value).drop(KEY, "__from", "__rerun")
+    return rows.withColumn(name, value).drop(*key.names, "__from", "__rerun")
 
 
 def sequence_events(df: DataFrame, by: Sequence[str], order: Sequence[str], slices: Sequence[Column],

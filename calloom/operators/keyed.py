@@ -9,14 +9,45 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-KEY = "__key"
+# Stand-ins for null in key columns, by type; a flag column tells them from real values.
+STAND_INS = {
+    T.StringType: "", T.BooleanType: "false", T.ByteType: "0", T.ShortType: "0", T.IntegerType: "0",
+    T.LongType: "0", T.FloatType: "0", T.DoubleType: "0", T.DecimalType: "0", T.DateType: "1970-01-01",
+    T.TimestampType: "1970-01-01 00:00:00", T.TimestampNTZType: "1970-01-01 00:00:00",
+}
 
 
-def key_of(columns: Sequence[str | Column]) -> Column:
-    """The key columns as one struct: equal when all parts are equal, where null equals null."""
-    return F.struct(*columns)
+class Key:
+    """Key columns under names of their own in which null equals null, for grouping, windows and joins alike.
+
+    All three then share one hash partitioning of plain columns, and no step shuffles again.
+    """
+
+    def __init__(self, df: DataFrame, by: Sequence[str | Column], prefix: str = "__k"):
+        fields = df.select(*[F.col(c) if isinstance(c, str) else c for c in by]).schema.fields
+        self.columns: dict[str, Column] = {}
+        self.ascending: list[Column] = []
+        for n, (part, field) in enumerate(zip(by, fields)):
+            column, name = F.col(part) if isinstance(part, str) else part, f"{prefix}{n}"
+            stand_in = STAND_INS.get(type(field.dataType))
+            if stand_in is None:
+                self.columns[name] = F.struct(column)
+            elif field.nullable:
+                self.columns[name] = F.coalesce(column, F.lit(stand_in).cast(field.dataType))
+                self.columns[f"{name}_null"] = column.isNull()
+                self.ascending.append(F.col(f"{name}_null").desc())
+            else:
+                self.columns[name] = column
+            self.ascending.append(F.col(name).asc())
+
+    @property
+    def names(self) -> list[str]:
+        return list(self.columns)
+
+    def on(self, df: DataFrame) -> DataFrame:
+        return df.withColumns(self.columns)
 
 
 def attach(df: DataFrame, by: Sequence[str | Column], source: DataFrame | None = None,
@@ -29,9 +60,10 @@ def attach(df: DataFrame, by: Sequence[str | Column], source: DataFrame | None =
     source = df if source is None else source
     if not by:
         return attach_total(df, source, **aggregates)
-    per_key = source.groupBy(key_of(by).alias(KEY)).agg(*[agg.alias(name) for name, agg in aggregates.items()])
+    key = Key(source, by)
+    per_key = key.on(source).groupBy(*key.names).agg(*[agg.alias(name) for name, agg in aggregates.items()])
     kept = [c for c in df.columns if c not in aggregates]
-    return df.select(key_of(by).alias(KEY), *kept).join(per_key, KEY).drop(KEY)
+    return key.on(df).select(*key.names, *kept).join(per_key, key.names).select(*kept, *aggregates)
 
 
 def attach_total(df: DataFrame, source: DataFrame | None = None, **aggregates: Column) -> DataFrame:

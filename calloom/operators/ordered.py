@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-CELL = "__cell"
+from calloom.operators.keyed import Key
 
 ID_SLICE = 1_000_000
 
@@ -61,10 +61,11 @@ def ordered(
     running_sum, key_sum, key_max = dict(running_sum or {}), dict(key_sum or {}), dict(key_max or {})
     numbered = bool(row_number or row_number_desc or lag or lead)
 
-    slice_ = F.struct(*[s.alias(f"s{i}") for i, s in enumerate(slices)])
-    cell = F.struct(F.struct(*by).alias("key"), slice_.alias("slice"))
-    rows = df.withColumn(CELL, cell)
-    row = Window.partitionBy(CELL).orderBy(*order)
+    base = df if source is None else source
+    key, cut = Key(base, by), Key(base, slices, "__s")
+    names = [*key.names, *cut.names]
+    rows = cut.on(key.on(df))
+    row = Window.partitionBy(*names).orderBy(*order)
     upto = row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     carried = sorted({*lag.values(), *lead.values()})
@@ -77,14 +78,14 @@ def ordered(
     summary += [F.max(src).alias(f"max_{name}") for name, src in {**running_max, **key_max}.items()]
     summary += [F.sum(src).alias(f"sum_{name}") for name, src in {**running_sum, **key_sum}.items()]
 
-    key = Window.partitionBy(F.col(CELL)["key"])
-    by_slice = key.orderBy(F.col(CELL)["slice"])
+    whole = Window.partitionBy(*key.names)
+    by_slice = whole.orderBy(*cut.ascending)
     before = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-    cells = (df if source is None else source).withColumn(CELL, cell).groupBy(CELL).agg(*summary)
+    cells = cut.on(key.on(base)).groupBy(*names).agg(*summary)
     incoming = {
         "__n": F.col("n"),
         "__skip": F.coalesce(F.sum("n").over(before), F.lit(0)),
-        "__total": F.sum("n").over(key),
+        "__total": F.sum("n").over(whole),
     }
     if lag:
         incoming["__prev"] = F.lag("last").over(by_slice)
@@ -95,10 +96,10 @@ def ordered(
     for name in running_sum:
         incoming[f"__sum_{name}"] = F.sum(f"sum_{name}").over(before)
     for name in key_sum:
-        incoming[f"__key_{name}"] = F.sum(f"sum_{name}").over(key)
+        incoming[f"__key_{name}"] = F.sum(f"sum_{name}").over(whole)
     for name in key_max:
-        incoming[f"__key_{name}"] = F.max(f"max_{name}").over(key)
-    cells = cells.select(CELL, *[c.alias(name) for name, c in incoming.items()])
+        incoming[f"__key_{name}"] = F.max(f"max_{name}").over(whole)
+    cells = cells.select(*names, *[c.alias(name) for name, c in incoming.items()])
 
     local = {}
     if numbered:
@@ -111,7 +112,7 @@ def ordered(
         local[f"__run_{name}"] = F.max(src).over(upto)
     for name, src in running_sum.items():
         local[f"__cum_{name}"] = F.sum(src).over(upto)
-    rows = rows.withColumns(local).join(cells, CELL)
+    rows = rows.withColumns(local).join(cells, names)
 
     new = {}
     if row_number:
