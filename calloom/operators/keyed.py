@@ -67,9 +67,11 @@ def attach(df: DataFrame, by: Sequence[str | Column], source: DataFrame | None =
 
 
 def attach_total(df: DataFrame, source: DataFrame | None = None, **aggregates: Column) -> DataFrame:
-    """Add aggregates over all rows, each as a scalar subquery of one value."""
+    """Add aggregates over all rows. They are one row, computed once as a scalar subquery."""
     source = df if source is None else source
-    return df.withColumns({name: source.agg(agg.alias(name)).scalar() for name, agg in aggregates.items()})
+    row = source.agg(F.struct(*[agg.alias(name) for name, agg in aggregates.items()]).alias("row"))
+    rows = df.withColumn("__row", row.scalar())
+    return rows.withColumns({name: F.col("__row")[name] for name in aggregates}).drop("__row")
 
 
 def pick_by(order: Sequence[str], values: Sequence[str], last: bool = False) -> Column:

@@ -273,3 +273,26 @@ def test_trailing_rate_at_three_grains(spark):
     rows = fc.trailing_rate(df, {"r": ("n", "m")}, F.col("d") >= 2, {"": [], "_g": ["g"]}, zero=["r_g"])
     assert values(rows, "d", "g", "r", "r_g") == [
         (1, "x", 0.75, 0.75), (2, "x", 0.75, 0.75), (3, "x", 0.75, 0.75), (3, "y", 0.75, 0.0)]
+
+
+def test_assign_interval_on_a_hot_key_equals_duckdb(spark):
+    """Most tickets and calls share one key; DuckDB forms all pairs and applies the rule."""
+    import duckdb
+
+    rng, base = random.Random(11), dt.datetime(2021, 1, 1)
+    tickets = [("hot" if rng.random() < 0.9 else rng.choice("ab"), i, base + dt.timedelta(minutes=rng.randrange(40_000)))
+               for i in range(500)]
+    calls = [("hot" if rng.random() < 0.9 else rng.choice("ab"), i, base + dt.timedelta(minutes=rng.randrange(41_000)))
+             for i in range(3_000)]
+    left = spark.createDataFrame(tickets, "k string, ticket int, start timestamp_ntz")
+    right = spark.createDataFrame(calls, "k string, call int, ts timestamp_ntz")
+    spans = att.ticket_intervals(left, ["k"], "start", "ticket")
+    got = att.assign_interval(spans, right, ["k"], "start", "ts", F.col("start") == F.col("previous_start"))
+    t, c = pd.DataFrame(tickets, columns=["k", "ticket", "start"]), pd.DataFrame(calls, columns=["k", "call", "ts"])  # noqa: F841
+    want = duckdb.sql("""
+        with b as (select *, coalesce(lead(start) over w, start) as nxt, coalesce(lag(start) over w, start) as prv,
+          max(start) over (partition by k) as lst from t window w as (partition by k order by start, ticket))
+        select b.k, ticket, call from b join c on c.k = b.k
+        where (start = prv and ts between start - interval 60 minute and nxt)
+          or (start > prv and start < lst and ts between start and nxt) or (start = lst and ts > start)""").fetchall()
+    assert values(got, "k", "ticket", "call") == sorted(want, key=repr)

@@ -29,3 +29,18 @@ def test_every_query_has_an_oracle():
 def test_entry(spark):
     rows = entry.entry(spark)
     assert rows.columns == ["date", "event_type", "reporting_week", "n", "total"] and not rows.isEmpty()
+
+
+def test_reports_written_in_order_equal_the_queries(spark, tmp_path):
+    from calloom import plans
+    from calloom.sources import Tables
+    from checks.domain import AS_OF, START, domain
+    from checks.reports import GAPS
+
+    done = plans.materialise(
+        domain(Tables(spark, SF_DIR)), str(tmp_path), AS_OF, START, gaps=GAPS, excluded_campaign="%SPECIAL%")
+    assert len(done) == 10
+    for name in ("agent_performance", "capacity_plan"):
+        key = next(k for k in entry.queries() if k.endswith(name))
+        want = entry.queries()[key](spark, SF_DIR)
+        assert done[name].count() == want.count() > 0
