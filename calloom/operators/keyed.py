@@ -29,6 +29,7 @@ class Key:
         fields = df.select(*[F.col(c) if isinstance(c, str) else c for c in by]).schema.fields
         self.columns: dict[str, Column] = {}
         self.ascending: list[Column] = []
+        self.descending: list[Column] = []
         for n, (part, field) in enumerate(zip(by, fields)):
             column, name = F.col(part) if isinstance(part, str) else part, f"{prefix}{n}"
             stand_in = STAND_INS.get(type(field.dataType))
@@ -38,9 +39,11 @@ class Key:
                 self.columns[name] = F.coalesce(column, F.lit(stand_in).cast(field.dataType))
                 self.columns[f"{name}_null"] = column.isNull()
                 self.ascending.append(F.col(f"{name}_null").desc())
+                self.descending.append(F.col(f"{name}_null").asc())
             else:
                 self.columns[name] = column
             self.ascending.append(F.col(name).asc())
+            self.descending.append(F.col(name).desc())
 
     @property
     def names(self) -> list[str]:

@@ -47,18 +47,20 @@ def ordered(
     lead: Mapping[str, str] | None = None,
     running_max: Mapping[str, str] | None = None,
     running_sum: Mapping[str, str] | None = None,
+    coming_min: Mapping[str, str] | None = None,
     key_sum: Mapping[str, str] | None = None,
     key_max: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Add ordered values per key.
 
     ``slices`` cut a key: they must not decrease along ``order`` (lexicographically). ``lag``, ``lead``,
-    ``running_max``, ``running_sum``, ``key_sum`` and ``key_max`` (over the whole key) map a new column
-    to its source column; running values include the row. ``source`` is an earlier form of the same
+    ``running_max``, ``running_sum``, ``coming_min``, ``key_sum`` and ``key_max`` (over the whole key) map
+    a new column to its source column; running values include the row, and so does the minimum of the coming rows. ``source`` is an earlier form of the same
     rows from which the summaries can be taken (see ``calloom.operators.keyed.attach``).
     """
     lag, lead, running_max = dict(lag or {}), dict(lead or {}), dict(running_max or {})
     running_sum, key_sum, key_max = dict(running_sum or {}), dict(key_sum or {}), dict(key_max or {})
+    coming_min = dict(coming_min or {})
     numbered = bool(row_number or row_number_desc or lag or lead)
 
     base = df if source is None else source
@@ -76,6 +78,7 @@ def ordered(
     if lag:
         summary.append(F.max(edge)["row"].alias("last"))
     summary += [F.max(src).alias(f"max_{name}") for name, src in {**running_max, **key_max}.items()]
+    summary += [F.min(src).alias(f"min_{name}") for name, src in coming_min.items()]
     summary += [F.sum(src).alias(f"sum_{name}") for name, src in {**running_sum, **key_sum}.items()]
 
     whole = Window.partitionBy(*key.names)
@@ -93,6 +96,10 @@ def ordered(
         incoming["__next"] = F.lead("first").over(by_slice)
     for name in running_max:
         incoming[f"__max_{name}"] = F.max(f"max_{name}").over(before)
+    # read backwards, as a frame that ends with the partition would be computed anew for every row
+    after = whole.orderBy(*cut.descending).rowsBetween(Window.unboundedPreceding, -1)
+    for name in coming_min:
+        incoming[f"__min_{name}"] = F.min(f"min_{name}").over(after)
     for name in running_sum:
         incoming[f"__sum_{name}"] = F.sum(f"sum_{name}").over(before)
     for name in key_sum:
@@ -110,6 +117,10 @@ def ordered(
         local[f"__lead_{name}"] = F.lead(src).over(row)
     for name, src in running_max.items():
         local[f"__run_{name}"] = F.max(src).over(upto)
+    back = Window.partitionBy(*names).orderBy(*[F.col(c).desc() for c in order])
+    back = back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for name, src in coming_min.items():
+        local[f"__low_{name}"] = F.min(src).over(back)
     for name, src in running_sum.items():
         local[f"__cum_{name}"] = F.sum(src).over(upto)
     rows = rows.withColumns(local).join(cells, names)
@@ -127,6 +138,8 @@ def ordered(
         new[name] = F.when(F.col("__rn") == F.col("__n"), F.col("__next")[src]).otherwise(F.col(f"__lead_{name}"))
     for name in running_max:
         new[name] = F.greatest(f"__max_{name}", f"__run_{name}")
+    for name in coming_min:
+        new[name] = F.least(f"__min_{name}", f"__low_{name}")
     for name in running_sum:
         before_sum, here = F.col(f"__sum_{name}"), F.col(f"__cum_{name}")
         new[name] = F.coalesce(before_sum + here, before_sum, here)

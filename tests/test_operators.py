@@ -22,14 +22,14 @@ def test_ordered_equals_plain_windows(spark, rows):
     got = ordered(
         df, ["k"], ["x", "id"], [F.floor(F.col("x") / 7)], row_number="n", row_number_desc="m", total="t",
         lag={"p": "v"}, lead={"q": "v"}, running_max={"rm": "v"}, running_sum={"rs": "v"}, key_sum={"ks": "v"},
-        key_max={"km": "v"})
+        key_max={"km": "v"}, coming_min={"cm": "v"})
     w, k = Window.partitionBy("k").orderBy("x", "id"), Window.partitionBy("k")
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    upto, coming = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
     want = df.select(
         "*", F.row_number().over(w).alias("n"), (F.count("*").over(k) + 1 - F.row_number().over(w)).alias("m"),
         F.count("*").over(k).alias("t"), F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("q"),
         F.max("v").over(upto).alias("rm"), F.sum("v").over(upto).alias("rs"), F.sum("v").over(k).alias("ks"),
-        F.max("v").over(k).alias("km"))
+        F.max("v").over(k).alias("km"), F.min("v").over(coming).alias("cm"))
     assert values(got, *want.columns) == values(want)
 
 
