@@ -64,6 +64,12 @@ def seconds_of_day(ts: Column) -> Column:
     return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
+def hour_start(ts: Column) -> Column:
+    """The full hour before a timestamp; unlike ``date_trunc`` it keeps zoneless timestamps zoneless."""
+    zero = F.lit(0)
+    return ts - F.make_dt_interval(zero, zero, F.minute(ts), F.extract(F.lit("SECOND"), ts))
+
+
 def time_text(seconds: Column) -> Column:
     """Seconds of day as ``HH:mm:ss``."""
     hours, minutes, rest = [

@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from calloom.functions.calendar import Date, as_date, days, iso_weekday, within
+from calloom.functions.numbers import round_scaled
 from calloom.operators.keyed import attach
 
 
@@ -154,7 +155,7 @@ def capacity(df: DataFrame, planned: str, shrinkage: str, sickness: str, occupan
     def tickets(available: Column) -> Column:
         handled = F.try_divide(F.coalesce(available, F.lit(0.0)), F.col(handling_h))
         new = F.try_subtract(F.try_divide(handled, F.lit(reached)), F.try_divide(F.col(backlog), F.lit(reached)))
-        return F.round(new, 1)
+        return round_scaled(new)
 
     return df.withColumns({
         "max_capacity_lead_tickets_total": tickets(at_most),

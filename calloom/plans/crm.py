@@ -61,7 +61,7 @@ def crm_events(tables: Tables) -> DataFrame:
     by, sent = ["user_email", "email_type"], F.col("email_event_rank") == 1
     rows = cohort_date(rows, by, sent, "activity_date", source=base_rows)
     rows = rerun_cohort_date(rows, by, sent, "activity_date", order, source=base_rows)
-    rows = sequence_events(rows, ["user_email"], order, [F.col("activity_date")], source=base_rows)
+    rows = sequence_events(rows, ["user_email"], order, [F.col(c) for c in order[:3]], source=base_rows)
     return rows.select(
         "activity_date", "cohort_date", "cohort_date_alt", "crm_category", "event_type", "email_type_rank",
         "email_type", "email_type_concat", "email_event_rank", "email_event", "email_event_concat", "user_email",

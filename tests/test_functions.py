@@ -79,3 +79,11 @@ def test_form_number(table):
 def test_time_text(table):
     df = table("s int", [0], [86399], [None])
     assert values(df.select(cal.time_text(F.col("s")))) == [("00:00:00",), ("23:59:59",), (None,)]
+
+
+def test_round_scaled_on_ties(table):
+    df = table("s long", [21_129_120], [254_880], [-12_960], [None])
+    from calloom.functions.numbers import round_scaled
+    rows = values(df.select(round_scaled(F.col("s") / 60 / 60 / 24)))
+    # 244.55 and -0.15 lie on a tie; 2.95 becomes 2.9499999999999997 on the way
+    assert rows == [(-0.2,), (2.9,), (244.6,), (None,)]
