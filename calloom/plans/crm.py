@@ -132,7 +132,8 @@ def crm_report(tables: Tables, events: DataFrame) -> DataFrame:
     return rows.withColumn("days_sent_to_appointment_scheduled", to_scheduled).select(
         "activity_date", "crm_category", "event_type", "email_type_rank", "email_type", "email_type_concat",
         "email_event_rank", "email_event", "email_event_concat", "user_email", "user_first_name", "user_last_name",
-        "clang_uuid", "user_event_rank_asc", "user_event_rank_desc", "cohort_date", "activity_reporting_week",
+        "clang_uuid", "user_event_rank_asc", "user_event_rank_desc",
+        F.col("cohort_date").alias("cohort_date_alt"), "cohort_date", "activity_reporting_week",
         "activity_reporting_month", "cohort_reporting_week", "cohort_reporting_month", "next_email_event_date",
         "user_event_date_rank_desc", "exclude_data_flag", "days_sent_to_open", "days_sent_to_clicked", "lead_date",
         "lead_age_days", "customer_id", "last_appointment_scheduled_date", "oht_date", "post_crm_appointment_flag",
