@@ -70,6 +70,11 @@ def hour_start(ts: Column) -> Column:
     return ts - F.make_dt_interval(zero, zero, F.minute(ts), F.extract(F.lit("SECOND"), ts))
 
 
+def hour_number(ts: Column) -> Column:
+    """Hours since 1970 by the clock reading of the timestamp."""
+    return F.datediff(ts, F.lit("1970-01-01").cast("date")) * 24 + F.hour(ts)
+
+
 def time_text(seconds: Column) -> Column:
     """Seconds of day as ``HH:mm:ss``."""
     hours, minutes, rest = [

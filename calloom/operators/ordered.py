@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from calloom.functions.calendar import hour_start
+from calloom.functions.calendar import hour_number
 from calloom.operators.keyed import Key
 
 ID_SLICE = 1_000_000
@@ -26,7 +26,7 @@ ID_SLICE = 1_000_000
 
 def hours(ts: str) -> Column:
     """Slice a timestamp by hour."""
-    return hour_start(F.col(ts))
+    return hour_number(F.col(ts))
 
 
 def id_range(id_: str, width: int = ID_SLICE) -> Column:
