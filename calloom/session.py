@@ -1,8 +1,7 @@
-"""Session settings the operators rely on at scale."""
+"""Session settings the operators rely on at scale, and the folder for intermediate tables."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,22 +24,21 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_own_folder: list[tempfile.TemporaryDirectory] = []
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster, from ``spark.checkpoint.dir``.
+    """The shared folder for intermediate data: ``spark.checkpoint.dir``, else one beneath the warehouse.
 
-    Only a local session without that setting (a test) gets a folder of its own, for as long as it lives.
+    Both are settings of the cluster that name storage every executor reaches; no temp folder is used.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if not _own_folder:
-        _own_folder.append(tempfile.TemporaryDirectory(prefix="calloom-"))
-    return _own_folder[0].name
+    return (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/calloom-checkpoints"
+    )
+
+
+def stage_folder(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/calloom-stages/{spark.sparkContext.applicationId}"
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -49,6 +47,12 @@ def stage(df: DataFrame) -> DataFrame:
     For results that are read several times below: they are computed once, later steps read only the
     columns they need, and a lost executor costs no more than reading again.
     """
-    path = f"{checkpoint_dir(df.sparkSession)}/calloom-stages/{uuid.uuid4().hex}"
+    path = f"{stage_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables, once nothing that was built on them is read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(stage_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
