@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from calloom.llm import line_quality
+from calloom.llm import bpe_automaton, line_quality
 from calloom.session import tune
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    tune(spark)
+    # whole texts travel through Arrow: small batches keep a worker's memory flat
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,8 +23,23 @@ def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def token_digests(docs: DataFrame) -> DataFrame:
+    """Ids and decoded texts of documents, as digests; other columns stay."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe_automaton.encode(docs, path).drop("text")
+    coded = coded.withColumn("n_tokens", F.size("ids").cast("long"))
+    coded = coded.withColumn("ids_sha256", F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256))
+    decoded = bpe_automaton.decode(coded, path).drop("ids")
+    return decoded.withColumn("decoded_sha256", F.sha2(F.col("decoded"), 256)).drop("decoded")
+
+
 QUERIES = {
     "op3_line_quality": op3_line_quality,
+    "op7_bpe_automaton": op7_bpe_automaton,
 }
 
 ORACLES = {}
