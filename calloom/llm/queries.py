@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from calloom.llm import bpe_automaton, line_quality
+from calloom.llm import bpe_automaton, line_quality, simhash
 from calloom.session import tune
 
 
@@ -23,6 +23,10 @@ def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -39,6 +43,7 @@ def token_digests(docs: DataFrame) -> DataFrame:
 
 QUERIES = {
     "op3_line_quality": op3_line_quality,
+    "op5_simhash": op5_simhash,
     "op7_bpe_automaton": op7_bpe_automaton,
 }
 
