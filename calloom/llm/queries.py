@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from calloom.llm import bpe_automaton, line_quality, simhash
+from calloom.llm import bpe_automaton, langid, line_quality, simhash
+from calloom.llm.common import crc_bucket
 from calloom.session import tune
 
 
@@ -27,6 +28,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_bucket(F.col("doc_id"), 4) == 2
+    model = langid.fit(docs.filter(~held_out))
+    found = langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
 def op7_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -44,6 +53,7 @@ def token_digests(docs: DataFrame) -> DataFrame:
 QUERIES = {
     "op3_line_quality": op3_line_quality,
     "op5_simhash": op5_simhash,
+    "op6_langid": op6_langid,
     "op7_bpe_automaton": op7_bpe_automaton,
 }
 
