@@ -30,3 +30,35 @@ def text_batches(batches: Iterator, column: str = "text") -> Iterator[tuple]:
 def spread(df: DataFrame, *columns: str) -> DataFrame:
     """Only the given columns, so that a scan reads nothing else."""
     return df.select(*columns)
+
+
+#: Entries of a table that are broadcast: the most frequent ones, of at most ``HOT_LENGTH`` characters. A fixed size.
+HOT, HOT_LENGTH = 1 << 17, 64
+
+
+def hottest(table: DataFrame, item: str, total: str, *values: str) -> list:
+    """The rows (item, values) of the ``HOT`` most frequent short items."""
+    short = table.filter(F.length(item) <= HOT_LENGTH)
+    rows = short.orderBy(F.desc(total), item).limit(HOT).select(item, *values).toPandas()
+    return [rows[name].tolist() for name in (item, *values)]
+
+
+def row_keys(count: int, first: int) -> range:
+    """Numbers for the rows of a batch, unique over all tasks of a stage and the same when a task runs again."""
+    from pyspark import TaskContext
+
+    base = (TaskContext.get().partitionId() << 40) + first
+    return range(base, base + count)
+
+
+def add_rest(rows: DataFrame, table: DataFrame, item: str, sums: dict[str, Column]) -> DataFrame:
+    """Add to columns of ``rows`` what the items in their array ``rest`` (structs of item, n) amount to.
+
+    The rest holds items that were not broadcast, so no item has many rows here. ``sums`` are expressions of n and
+    of the columns of ``table``, null where an item is not in it; ``rows`` have a unique ``_key``.
+    """
+    rest = rows.select("_key", F.explode("rest").alias("_entry")).select("_key", F.col("_entry.item").alias(item), "_entry.n")
+    found = rest.join(table, item, "left").groupBy("_key").agg(*(F.sum(e).alias(f"_{name}") for name, e in sums.items()))
+    whole = rows.drop("rest").join(found, "_key", "left")
+    changed = {name: F.col(name) + F.coalesce(F.col(f"_{name}"), F.lit(0)) for name in sums}
+    return whole.withColumns(changed).drop("_key", *(f"_{name}" for name in sums))
