@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from calloom.llm import bpe_automaton, langid, line_quality, simhash, token_counts
+from calloom.llm import bloom_lm, bpe_automaton, langid, line_quality, simhash, token_counts
 from calloom.llm.common import crc_bucket
 from calloom.session import tune
 
@@ -50,6 +50,12 @@ def token_digests(docs: DataFrame) -> DataFrame:
     return decoded.withColumn("decoded_sha256", F.sha2(F.col("decoded"), 256)).drop("decoded")
 
 
+def op8_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_bucket(F.col("doc_id"), 7) == 2
+    docs = _table(spark, sf_dir, "documents").select("doc_id", held_out.alias("held_out"), "text")
+    return bloom_lm.score(docs, ~F.col("held_out"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -60,6 +66,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_langid": op6_langid,
     "op7_bpe_automaton": op7_bpe_automaton,
+    "op8_bloom_lm": op8_bloom_lm,
     "op10_token_counts": op10_token_counts,
 }
 
