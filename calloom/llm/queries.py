@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from calloom.llm import bloom_lm, bpe_automaton, langid, line_quality, simhash, token_counts
+from calloom.llm import bloom_lm, bpe_automaton, langid, line_quality, simhash, token_counts, toxicity
 from calloom.llm.common import crc_bucket
 from calloom.session import tune
 
@@ -17,6 +17,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_bucket(F.col("doc_id"), 5) == 0
+    docs = _table(spark, sf_dir, "documents").select("doc_id", held_out.alias("held_out"), "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out)
+    model = toxicity.fit(docs.filter(~F.col("held_out")), labels)
+    return toxicity.predict(docs, model)
+
+
 def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_quality.judge(docs).select(
@@ -62,6 +70,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op3_line_quality": op3_line_quality,
     "op5_simhash": op5_simhash,
     "op6_langid": op6_langid,
