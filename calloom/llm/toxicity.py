@@ -1,8 +1,9 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine from a block-max inverted index, and weighted votes.
 
 Fitting takes a bounded sample of labelled rows (``PER_CLASS`` of each label, those with the smallest hashes of their
-ids). Terms are words and their beginnings of 4 to 6 letters, so that compounds and inflections of a word count as it.
-The terms kept are those that the sample's toxic texts hold more often (chi-squared of at least ``MIN_CHI2``, at most
+ids). Terms are words, and beginnings of 4 to 8 letters of longer words, so that compounds and inflections count as
+what they begin with; a beginning found twice, or three times, in a text is a term of its own, as some are rare only in
+such number. The terms kept are those that the sample's toxic texts hold more often (chi-squared of at least ``MIN_CHI2``, at most
 ``MAX_TERMS``); all others say nothing about toxicity and would drown those that do. An example is its TF-IDF vector
 over these terms, of length one.
 
@@ -37,7 +38,9 @@ from calloom.session import stage
 PER_CLASS = 8192
 MIN_CHI2 = 25.0
 MAX_TERMS = 4096
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7, 8)
+#: Times that a beginning has to occur for its terms.
+TIMES = (1, 2, 3)
 BLOCK = 64
 NEIGHBOURS = 10
 PRIOR_WEIGHT = 0.5
@@ -47,18 +50,23 @@ KEPT_WORDS, KEPT_QUERIES = 300_000, 100_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def word_terms(word: str) -> list[str]:
-    """A lower-case word and its beginnings, marked by a hyphen."""
-    return [word, *(word[:n] + "-" for n in BEGINNINGS if len(word) >= n)]
+def word_bases(word: str) -> list[str]:
+    """A lower-case word, and its beginnings marked by a hyphen."""
+    return [word, *(word[:n] + "-" for n in BEGINNINGS if len(word) > n)]
 
 
-def term_counts(text: str) -> Counter:
-    """How often a text holds each term."""
+def base_terms(base: str) -> list[tuple[int, str]]:
+    """The terms of a word or beginning, each with the times it has to occur."""
+    return [(n, base + str(n)) for n in TIMES] if base.endswith("-") else [(1, base)]
+
+
+def held_terms(text: str) -> set[str]:
+    """The terms that a text holds."""
     counts: Counter = Counter()
     for word, n in Counter(LETTERS.findall(text.lower())).items():
-        for term in word_terms(word):
-            counts[term] += n
-    return counts
+        for base in word_bases(word):
+            counts[base] += n
+    return {term for base, n in counts.items() for least, term in base_terms(base) if n >= least}
 
 
 def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
@@ -81,8 +89,7 @@ def choose_terms(examples: DataFrame) -> dict[str, tuple[int, float]]:
         for batch, texts in text_batches(batches, "_text"):
             found: tuple[Counter, Counter] = (Counter(), Counter())
             for t, label in zip(texts, batch.column("_label").to_pylist()):
-                words = set(LETTERS.findall(t.lower()))
-                found[label].update({term for word in words for term in word_terms(word)})
+                found[label].update(held_terms(t))
             terms = list(found[0] | found[1])
             clean, toxic = ([counts[term] for term in terms] for counts in found)
             yield pa.RecordBatch.from_arrays(
@@ -108,21 +115,25 @@ class Vectors:
     """TF-IDF vectors of texts over the kept terms, with a bounded memory of words."""
 
     def __init__(self, terms: dict[str, tuple[int, float]]):
-        self.terms, self.words = terms, {}
+        self.terms, self.words, self.levels = terms, {}, {}
         self.idf = np.array([idf for _, idf in terms.values()])
+        for term in terms:
+            base = term[: term.index("-") + 1] if "-" in term else term
+            self.levels[base] = [(n, terms[t][0]) for n, t in base_terms(base) if t in terms]
 
     def query(self, text: str) -> tuple[tuple[int, int], ...]:
-        """(term, times) of the kept terms in a text, in order."""
+        """(term, times) of the kept terms in a text, in order; a term of several occurrences counts once."""
         counts: Counter = Counter()
         for word, n in Counter(LETTERS.findall(text.lower())).items():
             found = self.words.get(word)
             if found is None:
                 if len(self.words) >= KEPT_WORDS:
                     self.words.clear()
-                found = self.words[word] = tuple(self.terms[t][0] for t in word_terms(word) if t in self.terms)
-            for term in found:
-                counts[term] += n
-        return tuple(sorted(counts.items()))
+                found = self.words[word] = tuple(base for base in word_bases(word) if base in self.levels)
+            for base in found:
+                counts[base] += n
+        held = [(t, n if least == 1 else 1) for base, n in counts.items() for least, t in self.levels[base] if n >= least]
+        return tuple(sorted(held))
 
     def weights(self, query: tuple[tuple[int, int], ...]) -> tuple[np.ndarray, np.ndarray]:
         terms = np.array([term for term, _ in query], np.int64)
