@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from calloom.llm import bloom_lm, bpe_automaton, langid, line_quality, simhash, token_counts, toxicity
+from calloom.llm import bloom_lm, bpe_automaton, langid, line_quality, simhash, token_counts, toxicity, vamana
 from calloom.llm.common import crc_bucket
 from calloom.session import tune
 
@@ -32,6 +32,10 @@ def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_vamana(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vamana.neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_line_quality": op3_line_quality,
+    "op4_vamana": op4_vamana,
     "op5_simhash": op5_simhash,
     "op6_langid": op6_langid,
     "op7_bpe_automaton": op7_bpe_automaton,
