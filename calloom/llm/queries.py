@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from calloom.llm import bloom_lm, bpe_automaton, langid, line_quality, simhash, token_counts, toxicity, vamana
+from calloom.llm import bloom_lm, bpe_automaton, langid, line_quality, simhash, token_counts, toxicity, vamana, warc_zip
 from calloom.llm.common import crc_bucket
 from calloom.session import tune
 
@@ -17,6 +17,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc_zip.round_trip(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    full = F.col("payload").isNotNull()
+    return records.select(
+        F.col("key").alias("page_id"),
+        F.when(full, F.octet_length("payload").cast("long")).otherwise(F.col("declared_bytes")).alias("payload_bytes"),
+        F.when(full, F.sha2("payload", 256)).otherwise(F.col("declared_digest")).alias("payload_digest"),
+        "record_type", "refers_to",
+    )
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_bucket(F.col("doc_id"), 5) == 0
     docs = _table(spark, sf_dir, "documents").select("doc_id", held_out.alias("held_out"), "text")
@@ -74,6 +85,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_zip": op1_warc_zip,
     "op2_toxicity": op2_toxicity,
     "op3_line_quality": op3_line_quality,
     "op4_vamana": op4_vamana,
@@ -84,4 +96,17 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLES = {}
+ORACLES = {
+    "op1_warc_zip": """
+        with p as (
+            select page_id, coalesce(html, '') as html, sha256(coalesce(html, '')) as payload_digest,
+                   cast(strlen(coalesce(html, '')) as bigint) as payload_bytes
+            from pages
+        ),
+        f as (select payload_digest, min(page_id) as first from p where payload_bytes >= 100 group by payload_digest)
+        select page_id, payload_bytes, payload_digest,
+               case when page_id > first then 'revisit' else 'response' end as record_type,
+               case when page_id > first then first end as refers_to
+        from p left join f using (payload_digest)
+    """,
+}
