@@ -8,8 +8,9 @@ rank of the merge that absorbs the piece. An arc x -> y exists unless a gadget (
 with a piece b of y's left edge before either piece is absorbed (on the left, at the same rank also: of equal merges the
 leftmost comes first). Arcs are looked up once and kept in a transition table.
 
-A word's encoding is the one path that spells it. Reading left to right, each position has at most one last token, as
-encodings of prefixes are unique; so a table of last tokens by position holds the whole search, linear in the word.
+A word's encoding is the one path that spells it. It is looked for from left to right, longest label first, and steps
+back where no arc leads on. Encodings of prefixes are unique, so a position is come to by one path at most and is left
+for good once: the search is linear in the word.
 Decoding emits the labels of the arcs.
 
 Spark does the rest: documents stream through Arrow batches, one scan, no shuffle. Only the vocabulary (a file of fixed
@@ -23,10 +24,12 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, types as T
 
@@ -35,7 +38,7 @@ from calloom.llm.common import text_batches
 END_OF_WORD = "</w>"
 NEVER = 1 << 60
 #: Words whose encodings a worker keeps, and arcs that it keeps; beyond that the tables start anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 300_000
 KEPT_ARCS = 2_000_000
 
 # The characters of the White_Space property.
@@ -61,7 +64,7 @@ class MergeAutomaton:
         self.gadgets: dict[tuple[int, int], int] = {}
         self.right: dict[int, tuple[tuple[int, int], ...]] = {}
         self.left: dict[int, tuple[tuple[int, int], ...]] = {}
-        self.arcs: dict[tuple[int, int], bool] = {}
+        self.arcs: dict[int, bool] = {}
         made = {a + b for a, b in merges}
         for symbol, token in vocab.items():
             if symbol not in made:
@@ -69,7 +72,11 @@ class MergeAutomaton:
                 self.right[token] = self.left[token] = ((token, NEVER),)
         for rank, (a, b) in enumerate(merges):
             self._add_gadget(rank, vocab[a], vocab[b], a + b, vocab[a + b])
-        self.longest = max((len(label.removesuffix(END_OF_WORD)) for label in self.labels), default=0)
+        self.final = {x.removesuffix(END_OF_WORD): t for x, t in self.labels.items() if x.endswith(END_OF_WORD)}
+        self.inner = {x: t for x, t in self.labels.items() if not x.endswith(END_OF_WORD)}
+        self.reach: dict[str, int] = {}  # the longest inner label that begins with three symbols
+        for label in self.inner:
+            self.reach[label[:3]] = max(len(label), self.reach.get(label[:3], 2))
 
     def _add_gadget(self, rank: int, a: int, b: int, label: str, token: int) -> None:
         known = a in self.right and b in self.left
@@ -90,48 +97,69 @@ class MergeAutomaton:
 
     def arc(self, x: int, y: int) -> bool:
         """Whether y may follow x."""
-        found = self.arcs.get((x, y))
+        found = self.arcs.get(x << 32 | y)
         if found is None:
             if len(self.arcs) >= KEPT_ARCS:
                 self.arcs.clear()
-            found = self.arcs[x, y] = self._joins(x, y)
+            found = self.arcs[x << 32 | y] = self._joins(x, y)
         return found
 
     def encode(self, word: str) -> list[int]:
         """Tokens of one pre-split word, given in byte symbols."""
-        n, labels, arc = len(word), self.labels, self.arc
-        last: list[tuple[int, int] | None] = [None] * (n + 1)
-        for start in range(n):
-            before = last[start][0] if start and last[start] else None
-            if start and before is None:
-                continue
-            for end in range(start + 1, min(n, start + self.longest) + 1):
-                if last[end] is None:
-                    token = labels.get(word[start:end] if end < n else word[start:] + END_OF_WORD)
-                    if token is not None and (before is None or arc(before, token)):
-                        last[end] = (token, start)
-        path, end = [], n
-        while end:
-            token, end = last[end]
+        n, inner, final, reach, arcs = len(word), self.inner.get, self.final.get, self.reach.get, self.arcs
+        path: list[int] = []
+        starts, dead = [0], set()
+        while True:
+            start = starts[-1]
+            before = path[-1] << 32 if path else -1
+            token = final(word[start:])
+            if token is not None and (before < 0 or arcs.get(before | token) or self.arc(path[-1], token)):
+                path.append(token)
+                return path
+            end = min(n - 1, start + reach(word[start : start + 3], 2))
+            while True:
+                while end > start:
+                    token = inner(word[start:end])
+                    if token is not None and end not in dead:
+                        if before < 0 or arcs.get(before | token) or self.arc(path[-1], token):
+                            break
+                    end -= 1
+                if end > start:
+                    break
+                # no arc leads on from here; as only one path comes here, none will
+                dead.add(start)
+                end = starts.pop() - 1
+                start = starts[-1]
+                path.pop()
+                before = path[-1] << 32 if path else -1
             path.append(token)
-        return path[::-1]
+            starts.append(end)
 
 
 class WordTable(dict):
-    """Encodings of pieces of text without white space, as packed 32-bit ids; fills itself."""
+    """Encodings of pieces of text without white space, as packed 32-bit ids; fills itself.
+
+    Printable ASCII stands for itself among the byte symbols; other ASCII never comes here but in words of symbols.
+    """
 
     def __init__(self, automaton: MergeAutomaton):
         super().__init__()
         self.automaton = automaton
         self.symbols = byte_symbols()
+        self.older: dict[str, bytes] = {}  # the table before this one: what is still in use comes back from it
 
     def __missing__(self, piece: str) -> bytes:
-        ids: list[int] = []
-        for word in WORD_PATTERN.findall(piece):
-            ids += self.automaton.encode("".join(self.symbols[b] for b in word.encode()))
         if len(self) >= KEPT_WORDS:
+            self.older = dict(self)
             self.clear()
-        packed = self[piece] = np.array(ids, np.int32).tobytes()
+        packed = self.older.get(piece)
+        if packed is None:
+            ids: list[int] = []
+            for word in WORD_PATTERN.findall(piece):
+                plain = word.isascii() and word.isprintable()
+                ids += self.automaton.encode(word if plain else "".join([self.symbols[b] for b in word.encode()]))
+            packed = array("i", ids).tobytes()
+        self[piece] = packed
         return packed
 
 
@@ -148,6 +176,11 @@ class Tokenizer:
         self.labels = {token: label for label, token in model["vocab"].items()}
         self.labels |= {t["id"]: t["content"] for t in spec["added_tokens"]}
 
+    @property
+    def all_labels(self) -> list[str]:
+        """Labels by id."""
+        return [self.labels.get(token, "") for token in range(max(self.labels) + 1)]
+
     def packed(self, text: str) -> bytes:
         """The ids of a text as packed 32-bit numbers."""
         if self.split is None or "<" not in text:
@@ -212,9 +245,11 @@ def decode(frame: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
     schema = T.StructType([*frame.schema.fields, T.StructField(out, T.StringType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(source.value)
+        labels = pa.array(_tokenizer(source.value).all_labels, pa.string())
         for batch in batches:
-            texts = pa.array([tokenizer.decode(row or []) for row in batch.column(ids).to_pylist()], pa.string())
+            rows = batch.column(ids)
+            lists = pa.ListArray.from_arrays(rows.offsets, labels.take(rows.values))
+            texts = pc.if_else(pc.is_valid(rows), pc.binary_join(lists, " "), "")
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, out])
 
     return frame.mapInArrow(run, schema)

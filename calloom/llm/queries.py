@@ -5,16 +5,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from calloom.llm import bloom_lm, bpe_automaton, langid, line_quality, simhash, token_counts, toxicity, vamana, warc_zip
+from calloom.llm import bloom_lm, bpe_automaton, langid, line_quality, mixing, simhash, token_counts, toxicity, vamana, warc_zip
 from calloom.llm.common import crc_bucket
-from calloom.session import tune
+from calloom.session import stage, tune
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    tune(spark)
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings of the operators."""
     # whole texts travel through Arrow: small batches keep a worker's memory flat
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune(spark)
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +83,14 @@ def op8_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score(docs, ~F.col("held_out"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    slim = stage(mixing.measure(docs).drop("text"))
+    return mixing.mix(slim).select(
+        "doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "kept"
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -93,10 +105,12 @@ QUERIES = {
     "op6_langid": op6_langid,
     "op7_bpe_automaton": op7_bpe_automaton,
     "op8_bloom_lm": op8_bloom_lm,
+    "op9_mixing": op9_mixing,
     "op10_token_counts": op10_token_counts,
 }
 
 ORACLES = {
+    "op9_mixing": mixing.oracle_sql(),
     "op1_warc_zip": """
         with p as (
             select page_id, coalesce(html, '') as html, sha256(coalesce(html, '')) as payload_digest,

@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from calloom.llm.common import text_batches
 from calloom.llm.components import components
@@ -150,3 +150,17 @@ def near_duplicates(
     return printed.join(by_print, "fp").select(
         F.col("_key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """Of each group of near copies the document with the smallest key; all columns as they were.
+
+    Documents are told apart by key and text: of repeated rows one stays. Documents without a key come after all others.
+    """
+    stand_in = F.lit(1 << 62) + F.pmod(F.xxhash64(text), F.lit(1 << 61))
+    named = docs.withColumn("_key", F.coalesce(F.col(key).cast("long"), stand_in))
+    classes = near_duplicates(named, "_key", text, max_distance)
+    first = classes.filter("_key = component_id").select("_key").distinct()
+    own = Window.partitionBy("_key", "_hash").orderBy("_key")
+    kept = named.join(first, "_key", "left_semi").withColumn("_hash", F.xxhash64(text))
+    return kept.withColumn("_copy", F.row_number().over(own)).filter("_copy = 1").select(*docs.columns)
