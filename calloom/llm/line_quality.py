@@ -46,7 +46,10 @@ def _count_repeats(frame: DataFrame) -> DataFrame:
     repeated = F.filter("_windows", lambda window, i: same(window, i - 1) | same(window, i + 1))
     covered = F.flatten(F.transform(repeated, lambda w: F.array(w["i"], w["i"] + 1, w["i"] + 2)))
     count = F.when(F.col("_windows").isNull(), F.lit(0)).otherwise(F.size(F.array_distinct(covered)))
-    return frame.select(*own, count.cast("long").alias("n_repeat_words"))
+    # A filter on the verdict must not move below this step: it would carry the sorting of windows into each of its own
+    # look-ups. The optimizer moves no filter through a column that is not deterministic.
+    here = F.monotonically_increasing_id() >= 0
+    return frame.select(*own, F.when(here, count.cast("long")).otherwise(F.lit(0)).alias("n_repeat_words"))
 
 
 def _count_words(line: Column) -> Column:
