@@ -258,16 +258,18 @@ class Model:
         train_tokens = np.int64(self.tokens)
         exact_total, read_total = self.tokens + self.distinct + 1, self.read_back + self.distinct + 1
         added = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
-        kept = [f for f in docs.schema.fields if f.name not in (text, *added, "rest", "_key")]
+        kept = [f for f in docs.schema.fields if f.name not in (text, *added)]
         entry = T.StructType([T.StructField("item", T.StringType()), T.StructField("n", T.LongType())])
         types = [T.LongType(), T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType(), T.LongType(), T.ArrayType(entry)]
-        schema = T.StructType([*kept, *map(T.StructField, [*added, "_key", "rest"], types)])
+        schema = T.StructType([*kept, *map(T.StructField, [*added, "__key", "__rest"], types)])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = {word.encode(): c for word, c in hot.value.items()}
             index, first = _Index(), 0
             counts, logs, read = np.zeros(0), np.zeros(0), np.zeros(0)
             for batch, texts in text_batches(batches, text):
+                if not texts:
+                    continue
                 if len(index) > KEPT_WORDS:
                     index = _Index()
                     counts, logs, read = np.zeros(0), np.zeros(0), np.zeros(0)

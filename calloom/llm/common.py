@@ -27,11 +27,6 @@ def text_batches(batches: Iterator, column: str = "text") -> Iterator[tuple]:
         yield batch, [text or "" for text in batch.column(column).to_pylist()]
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Only the given columns, so that a scan reads nothing else."""
-    return df.select(*columns)
-
-
 #: Entries of a table that are broadcast: the most frequent ones, of at most ``HOT_LENGTH`` characters. A fixed size.
 HOT, HOT_LENGTH = 1 << 17, 64
 
@@ -57,8 +52,8 @@ def add_rest(rows: DataFrame, table: DataFrame, item: str, sums: dict[str, Colum
     The rest holds items that were not broadcast, so no item has many rows here. ``sums`` are expressions of n and
     of the columns of ``table``, null where an item is not in it; ``rows`` have a unique ``_key``.
     """
-    rest = rows.select("_key", F.explode("rest").alias("_entry")).select("_key", F.col("_entry.item").alias(item), "_entry.n")
-    found = rest.join(table, item, "left").groupBy("_key").agg(*(F.sum(e).alias(f"_{name}") for name, e in sums.items()))
-    whole = rows.drop("rest").join(found, "_key", "left")
-    changed = {name: F.col(name) + F.coalesce(F.col(f"_{name}"), F.lit(0)) for name in sums}
-    return whole.withColumns(changed).drop("_key", *(f"_{name}" for name in sums))
+    rest = rows.select("__key", F.explode("__rest").alias("__entry")).select("__key", F.col("__entry.item").alias(item), "__entry.n")
+    found = rest.join(table, item, "left").groupBy("__key").agg(*(F.sum(e).alias(f"__{name}") for name, e in sums.items()))
+    whole = rows.drop("__rest").join(found, "__key", "left")
+    changed = {name: F.col(name) + F.coalesce(F.col(f"__{name}"), F.lit(0)) for name in sums}
+    return whole.withColumns(changed).drop("__key", *(f"__{name}" for name in sums))

@@ -155,7 +155,8 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     # repeated ids could bring more rows than were chosen: the bound holds for rows
     made = sample.mapInArrow(bags, "_order long, _lang string, _held boolean, bags binary")
     made = made.orderBy("_order", "_lang", "bags").limit(MAX_DOCS)
-    return made.coalesce(1).mapInArrow(learn, "model binary").first()["model"]
+    row = made.coalesce(1).mapInArrow(learn, "model binary").first()
+    return row["model"] if row else pickle.dumps(None)
 
 
 class _Words(dict):

@@ -34,18 +34,18 @@ def _count_repeats(frame: DataFrame) -> DataFrame:
 
     Windows are compared by 64-bit hashes within one text; only texts with an equal pair of hashes are sorted.
     """
-    own = [name for name in frame.columns if name != "_hashes"]
+    own = [name for name in frame.columns if name != "__hashes"]
     frame = frame.select(
         *own,
         F.when(
-            F.size(F.array_distinct("_hashes")) < F.size("_hashes"),
-            F.sort_array(F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
-        ).alias("_windows"),
+            F.size(F.array_distinct("__hashes")) < F.size("__hashes"),
+            F.sort_array(F.transform("__hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+        ).alias("__windows"),
     )
-    same = lambda window, i: F.coalesce(F.get("_windows", i)["h"] == window["h"], F.lit(False))
-    repeated = F.filter("_windows", lambda window, i: same(window, i - 1) | same(window, i + 1))
+    same = lambda window, i: F.coalesce(F.get("__windows", i)["h"] == window["h"], F.lit(False))
+    repeated = F.filter("__windows", lambda window, i: same(window, i - 1) | same(window, i + 1))
     covered = F.flatten(F.transform(repeated, lambda w: F.array(w["i"], w["i"] + 1, w["i"] + 2)))
-    count = F.when(F.col("_windows").isNull(), F.lit(0)).otherwise(F.size(F.array_distinct(covered)))
+    count = F.when(F.col("__windows").isNull(), F.lit(0)).otherwise(F.size(F.array_distinct(covered)))
     # A filter on the verdict must not move below this step: it would carry the sorting of windows into each of its own
     # look-ups. The optimizer moves no filter through a column that is not deterministic.
     here = F.monotonically_increasing_id() >= 0
@@ -64,8 +64,8 @@ def _count_marks(line: Column, marks: str) -> Column:
 
 def ends_well(line: Column) -> Column:
     """Punctuation: the line ends as a sentence does, or has 20 words or more and a sentence end within."""
-    return line.rlike(r"[.!?…:;][\"'”’»)\]]*[\x20\x09-\x0D]*$") | (
-        (_count_words(line) >= 20) & line.rlike(r"[.!?…]([\x20\x09-\x0D]|$)")
+    return line.rlike(r"[.!?…:;][\"'”’»)\]]*[\x20\x09-\x0D]*\z") | (
+        (_count_words(line) >= 20) & line.rlike(r"[.!?…]([\x20\x09-\x0D]|\z)")
     )
 
 
@@ -111,43 +111,43 @@ def judge(
     has_word = lambda line: line.rlike(r"[^\x20\x09-\x0D]")
     chars = lambda lines: F.aggregate(lines, F.lit(0).cast("long"), lambda n, line: n + F.length(line))
     # Each select keeps only what later ones need: wide arrays are not carried along.
-    frame = frame.select(*own, F.split(content, "\n", -1).alias("_lines"), F.lower(content).alias("_lower"))
+    frame = frame.select(*own, F.split(content, "\n", -1).alias("__lines"), F.lower(content).alias("__lower"))
     frame = frame.select(
-        *own, "_lines", content.rlike(f"[{NOISE}{SEPARATORS}]").alias("_marks"), _holds_phrase(F.col("_lower")).alias("_phrase")
+        *own, "__lines", content.rlike(f"[{NOISE}{SEPARATORS}]").alias("__marks"), _holds_phrase(F.col("__lower")).alias("__phrase")
     )
     # The last two rules only run on texts that hold what they look for.
     frame = frame.select(
-        *own, "_marks", "_phrase",
-        F.filter("_lines", has_word).alias("_full"),
-        F.filter("_lines", lambda line: ends_well(line) | ~has_word(line)).alias("_good"),
+        *own, "__marks", "__phrase",
+        F.filter("__lines", has_word).alias("__full"),
+        F.filter("__lines", lambda line: ends_well(line) | ~has_word(line)).alias("__good"),
     )
-    clear = F.filter("_good", lambda line: is_clear(line) | ~has_word(line))
-    frame = frame.select(*own, "_phrase", "_full", F.when(F.col("_marks"), clear).otherwise(F.col("_good")).alias("_good"))
-    own_text = F.filter("_good", is_own_text)
-    frame = frame.select(*own, "_full", F.when(F.col("_phrase"), own_text).otherwise(F.col("_good")).alias("_good"))
+    clear = F.filter("__good", lambda line: is_clear(line) | ~has_word(line))
+    frame = frame.select(*own, "__phrase", "__full", F.when(F.col("__marks"), clear).otherwise(F.col("__good")).alias("__good"))
+    own_text = F.filter("__good", is_own_text)
+    frame = frame.select(*own, "__full", F.when(F.col("__phrase"), own_text).otherwise(F.col("__good")).alias("__good"))
     frame = frame.select(
         *own,
-        (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long").alias("n_dup_lines"),
-        F.array_join("_good", "\n").alias("cleaned"),
-        chars(F.col("_full")).alias("_chars"),
-        chars(F.filter("_good", has_word)).alias("_kept_chars"),
+        (F.size("__full") - F.size(F.array_distinct("__full"))).cast("long").alias("n_dup_lines"),
+        F.array_join("__good", "\n").alias("cleaned"),
+        chars(F.col("__full")).alias("__chars"),
+        chars(F.filter("__good", has_word)).alias("__kept_chars"),
     )
     done = [*own, "n_dup_lines", "cleaned"]
-    percent = F.when(F.col("_chars") > 0, F.col("_kept_chars") * 100.0 / F.col("_chars")).otherwise(F.lit(0.0))
-    frame = frame.select(*done, percent.alias("kept_percent"), words(content).alias("_words"))
+    percent = F.when(F.col("__chars") > 0, F.col("__kept_chars") * 100.0 / F.col("__chars")).otherwise(F.lit(0.0))
+    frame = frame.select(*done, percent.alias("kept_percent"), words(content).alias("__words"))
     done += ["kept_percent", "n_words", "word_chars", "n_symbols"]
     frame = frame.select(
         *done[:-3],
-        F.size("_words").cast("long").alias("n_words"),
-        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.size("__words").cast("long").alias("n_words"),
+        F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(content, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         F.when(
-            F.size("_words") >= 3,
+            F.size("__words") >= 3,
             F.transform(
-                F.sequence(F.lit(0), F.size("_words") - 3),
-                lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)),
+                F.sequence(F.lit(0), F.size("__words") - 3),
+                lambda i: F.xxhash64(F.get("__words", i), F.get("__words", i + 1), F.get("__words", i + 2)),
             ),
-        ).otherwise(F.array().cast("array<bigint>")).alias("_hashes"),
+        ).otherwise(F.array().cast("array<bigint>")).alias("__hashes"),
     )
     frame = _count_repeats(frame)
     frame = frame.withColumn(
@@ -162,3 +162,44 @@ def clean(docs: DataFrame, **limits) -> DataFrame:
     judged = judge(docs, **limits).filter("kept")
     column = {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("long")}
     return judged.select(*(column.get(name, F.col(name)).alias(name) for name in docs.columns))
+
+
+def oracle_sql(min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT, min_kept_percent: int = MIN_KEPT_PERCENT) -> str:
+    """Counts and verdict in SQL: windows and lines as rows, grouped per document."""
+    blanks, word = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)", r"[^\x20\x09-\x0D]"
+    n_words = "(length(bare) - length(replace(bare, ' ', '')) + 1)"
+    phrases = " or ".join(f"contains(lower(line), '{phrase}')" for phrase in BOILERPLATE)
+    return rf"""
+    with d as (
+        select row_number() over () as rid, doc_id, coalesce(text, '') as t,
+               regexp_extract_all(coalesce(text, ''), '{word}+') as ws from documents
+    ),
+    g as (select rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as g
+          from (select rid, ws, unnest(range(1, len(ws) - 1)) as i from d)),
+    r as (select rid, i from (select *, count(*) over (partition by rid, g) as c from g) where c > 1),
+    c as (select rid, count(distinct i + k) as n_repeat_words from r cross join (values (0), (1), (2)) v(k) group by rid),
+    l as (select rid, line, trim(line, {blanks}) as bare from (select rid, unnest(string_split(t, chr(10))) as line from d)
+          where regexp_matches(line, '{word}')),
+    v as (
+        select *, (regexp_matches(line, '[.!?…:;]["''”’»)\]]*[\x20\x09-\x0D]*\z')
+                   or ({n_words} >= 20 and regexp_matches(line, '[.!?…]([\x20\x09-\x0D]|\z)')))
+               and length(regexp_replace(line, '[^{NOISE}]+', '', 'g')) * 5 <= {n_words} * 3
+               and not (length(regexp_replace(line, '[^{SEPARATORS}]+', '', 'g')) >= 2
+                        and length(regexp_replace(line, '[^{SEPARATORS}]+', '', 'g')) * 10 > {n_words})
+               and not ({phrases}) as good
+        from l
+    ),
+    k as (select rid, count(*) - count(distinct line) as n_dup_lines, sum(length(line)) as chars,
+                 coalesce(sum(length(line)) filter (good), 0) as kept_chars from v group by rid),
+    b as (
+        select doc_id, cast(len(ws) as bigint) as n_words, cast(length(array_to_string(ws, '')) as bigint) as word_chars,
+               cast(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) as bigint) as n_symbols,
+               cast(coalesce(n_dup_lines, 0) as bigint) as n_dup_lines,
+               cast(coalesce(n_repeat_words, 0) as bigint) as n_repeat_words, kept_chars, chars
+        from d left join c using (rid) left join k using (rid)
+    ),
+    f as (select *, n_words < {min_words} or n_repeat_words * 100 > n_words * {max_repeat_percent} as base_failed from b)
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           not base_failed and coalesce(kept_chars * 100 >= chars * {min_kept_percent}, false) as kept
+    from f
+    """

@@ -69,33 +69,33 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = N
             goal = F.lit(0.0)
             for value, share in used.items():
                 goal = F.when(F.col(name) == value, F.lit(share / norm)).otherwise(goal)
-        frame = frame.withColumn(f"_{name}", goal)
+        frame = frame.withColumn(f"__{name}", goal)
     frame = stage(frame)
     for first in range(0, sweeps, STAGED_SWEEPS):
         for _ in range(min(STAGED_SWEEPS, sweeps - first)):
             for name in DIMENSIONS:
                 now = F.sum("weight").over(Window.partitionBy(name))
-                scaled = F.when(now > 0, F.col("weight") * F.col(f"_{name}") / now).otherwise(F.lit(0.0))
+                scaled = F.when(now > 0, F.col("weight") * F.col(f"__{name}") / now).otherwise(F.lit(0.0))
                 frame = frame.withColumn("weight", scaled)
         frame = stage(frame)
-    return frame.drop(*(f"_{name}" for name in DIMENSIONS))
+    return frame.drop(*(f"__{name}" for name in DIMENSIONS))
 
 
 def calibrate(cells: DataFrame, budget: float = BUDGET) -> DataFrame:
     """Adds ``probability`` to raked cells: weight per token, scaled to ``budget`` of all tokens, 1 at most."""
-    cells = cells.withColumn("_rate", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(F.lit(0.0)))
+    cells = cells.withColumn("__rate", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(F.lit(0.0)))
     wanted = budget * _total(cells, F.col("tokens"))
     scale, certain = 0.0, -1
     while True:
         # cells whose chance is 1 at this scale give all their tokens; the others share the rest
-        full = F.col("_rate") * scale >= 1
+        full = F.col("__rate") * scale >= 1
         sums = cells.agg(
             F.count_if(full), F.sum(F.when(full, F.col("tokens")).otherwise(0)), F.sum(F.when(~full, F.col("weight")).otherwise(0.0))
         ).first()
         if sums[0] <= certain or not sums[2]:
             break
         certain, scale = sums[0], max(wanted - float(sums[1]), 0.0) / sums[2]
-    return cells.withColumn("probability", F.least(F.lit(1.0), F.col("_rate") * scale)).drop("_rate")
+    return cells.withColumn("probability", F.least(F.lit(1.0), F.col("__rate") * scale)).drop("__rate")
 
 
 def uniform(key: Column) -> Column:
@@ -110,9 +110,9 @@ def mix(
     docs = docs.drop("probability", "kept")
     cells = docs.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"))
     chances = stage(calibrate(rake(stage(cells), targets), budget).select(*DIMENSIONS, "probability"))
-    cell = chances.select(*(F.col(name).alias(f"_{name}") for name in DIMENSIONS), "probability")
-    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in DIMENSIONS]
-    joined = docs.join(cell, same, "left").drop(*(f"_{name}" for name in DIMENSIONS))
+    cell = chances.select(*(F.col(name).alias(f"__{name}") for name in DIMENSIONS), "probability")
+    same = [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in DIMENSIONS]
+    joined = docs.join(cell, same, "left").drop(*(f"__{name}" for name in DIMENSIONS))
     return joined.withColumn("kept", uniform(F.col(key)) < F.col("probability"))
 
 

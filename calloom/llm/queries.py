@@ -110,6 +110,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_line_quality": line_quality.oracle_sql(),
     "op9_mixing": mixing.oracle_sql(),
     "op1_warc_zip": """
         with p as (

@@ -141,14 +141,14 @@ def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", max_distance: int = MAX_DISTANCE
 ) -> DataFrame:
     """One row per document: its key, fingerprint (16 hexadecimal digits) and component_id, the smallest key reachable."""
-    printed = stage(fingerprints(docs.select(F.col(key).alias("_key"), F.col(text).alias("text"))))
-    firsts = stage(printed.groupBy("fp").agg(F.min("_key").alias("first")))
+    printed = stage(fingerprints(docs.select(F.col(key).alias("__key"), F.col(text).alias("text"))))
+    firsts = stage(printed.groupBy("fp").agg(F.min("__key").alias("first")))
     labels = components(links(firsts.select("fp"), max_distance)).withColumnRenamed("node", "fp")
     classes = stage(firsts.join(labels, "fp", "left").withColumn("component", F.coalesce("component", "fp")))
     smallest = classes.groupBy("component").agg(F.min("first").alias("component_id"))
     by_print = stage(classes.join(smallest, "component").select("fp", "component_id"))
     return printed.join(by_print, "fp").select(
-        F.col("_key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        F.col("__key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
@@ -158,9 +158,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", max_dista
     Documents are told apart by key and text: of repeated rows one stays. Documents without a key come after all others.
     """
     stand_in = F.lit(1 << 62) + F.pmod(F.xxhash64(text), F.lit(1 << 61))
-    named = docs.withColumn("_key", F.coalesce(F.col(key).cast("long"), stand_in))
-    classes = near_duplicates(named, "_key", text, max_distance)
-    first = classes.filter("_key = component_id").select("_key").distinct()
-    own = Window.partitionBy("_key", "_hash").orderBy("_key")
-    kept = named.join(first, "_key", "left_semi").withColumn("_hash", F.xxhash64(text))
-    return kept.withColumn("_copy", F.row_number().over(own)).filter("_copy = 1").select(*docs.columns)
+    named = docs.withColumn("__key", F.coalesce(F.col(key).cast("long"), stand_in))
+    classes = near_duplicates(named, "__key", text, max_distance)
+    first = classes.filter("__key = component_id").select("__key").distinct()
+    own = Window.partitionBy("__key", "__hash").orderBy("__key")
+    kept = named.join(first, "__key", "left_semi").withColumn("__hash", F.xxhash64(text))
+    return kept.withColumn("__copy", F.row_number().over(own)).filter("__copy = 1").select(*docs.columns)

@@ -89,7 +89,7 @@ def count_pieces(pretokens: DataFrame, path: str) -> DataFrame:
 
 def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = 512) -> DataFrame:
     """n_bytes, n_tokens and over_limit in place of the text."""
-    docs = docs.drop("n_bytes", "n_tokens", "over_limit", "rest", "_key")
+    docs = docs.drop("n_bytes", "n_tokens", "over_limit")
     pieces = stage(count_pieces(pretoken_totals(docs, path, text), path))
     sparkContext = docs.sparkSession.sparkContext
     hot = sparkContext.broadcast(dict(zip(*hottest(pieces, "piece", "total", "n_pieces"))))
@@ -97,8 +97,8 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = 51
     kept = [f for f in docs.schema.fields if f.name != text]
     entry = T.StructType([T.StructField("item", T.StringType()), T.StructField("n", T.LongType())])
     schema = T.StructType([
-        *kept, T.StructField("_key", T.LongType()), T.StructField("n_bytes", T.LongType()),
-        T.StructField("n_tokens", T.LongType()), T.StructField("rest", T.ArrayType(entry)),
+        *kept, T.StructField("__key", T.LongType()), T.StructField("n_bytes", T.LongType()),
+        T.StructField("n_tokens", T.LongType()), T.StructField("__rest", T.ArrayType(entry)),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
