@@ -294,7 +294,8 @@ class Model:
                 items, times, ends = [], [], [0]
                 names = list(index)
                 for numbers in numbered:
-                    rare, n = np.unique(numbers[counts[numbers] < 0], return_counts=True)
+                    own = np.r_[numbers, mark]
+                    rare, n = np.unique(own[counts[own] < 0], return_counts=True)
                     items += [names[i].decode() for i in rare.tolist()]
                     times += n.tolist()
                     ends.append(len(items))

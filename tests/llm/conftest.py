@@ -1,0 +1,41 @@
+import public_tokenizers
+import pytest
+
+from calloom.llm.queries import prepare
+
+LONG = "Wort eins zwei drei. " * 12_000
+
+#: Null, empty, blank and very long texts, repeated rows, a null id, and columns named like results.
+HARD = [
+    (1, None, "en", "s1"), (2, "", "en", "s1"), (3, " \n\t ", None, "s1"), (4, "The cat sat. On the mat.", "en", None),
+    (4, "The cat sat. On the mat.", "en", None), (None, "No id here, at all.", "de", "s2"), (5, LONG, "de", "s2"),
+    (6, "\U0001f600 \x1c é x <|endoftext|> A\x85B", "fr", "s2"), (7, "1234 !!! $$$", "fr", "s3"),
+]
+CLASHING = ["score", "kept", "ids", "n_tokens", "component_id", "fp", "rest", "_key", "topic", "accepted", "cleaned"]
+
+
+@pytest.fixture(scope="session")
+def hard(spark):
+    prepare(spark)
+    schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"{c} string" for c in CLASHING)
+    return spark.createDataFrame([(*row, *("own" for _ in CLASHING)) for row in HARD], schema).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def none(hard):
+    return hard.limit(0)
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return prepare(spark).read.parquet("/root/testdata/sf0.001/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def word_vocabulary():
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="session")
+def byte_vocabulary():
+    return public_tokenizers.path("byte_bpe_50k.json")
