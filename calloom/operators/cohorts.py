@@ -12,8 +12,8 @@ from calloom.operators.ordered import ordered
 
 
 def prop(props: str, key: str) -> Column:
-    """Value of the first entry with ``key`` in an array of (key, value) structs."""
-    return F.get(F.filter(props, lambda entry: entry["key"] == key), F.lit(0))["value"]
+    """Greatest value of the entries with ``key`` in an array of (key, value) structs."""
+    return F.array_max(F.transform(F.filter(props, lambda entry: entry["key"] == key), lambda entry: entry["value"]))
 
 
 def pivot_props(df: DataFrame, props: str, keys: Mapping[str, str], by: Sequence[str]) -> DataFrame:

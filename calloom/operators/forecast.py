@@ -111,10 +111,15 @@ def staffing_model(df: DataFrame) -> DataFrame:
 
 
 def weekly_to_daily(df: DataFrame, plan: DataFrame, week: str, columns: Mapping[str, str],
-                    days_per_week: int = 7) -> DataFrame:
-    """Join a weekly plan and spread ``{new: weekly column}`` evenly over the days of the week."""
-    daily = plan.select(week, *[(F.col(src) / days_per_week).alias(new) for new, src in columns.items()])
-    return df.join(daily, week, "left")
+                    days_per_week: int = 7, whole: Mapping[str, str] | None = None) -> DataFrame:
+    """Join a weekly plan and spread ``{new: weekly column}`` evenly over the days of the week.
+
+    ``whole`` maps columns that hold as they are on each day. The plan is joined once: a week with several rows in it
+    gives each of its days that many.
+    """
+    daily = [(F.col(src) / days_per_week).alias(new) for new, src in columns.items()]
+    same = [F.col(src).alias(new) for new, src in (whole or {}).items()]
+    return df.join(plan.select(week, *same, *daily), week, "left")
 
 
 def workdays_only(weekly: Column, weekday: Column, workdays: int = 5) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -15,32 +15,36 @@ from calloom.plans.demand_forecast import demand_forecast
 from calloom.plans.market_fit import market_fit
 from calloom.plans.shops import blocker_alert, shop_dimension
 from calloom.plans.workforce_days import workforce_days
+from calloom.session import staged
 from calloom.sources import Tables, read_report, write_report
 
 
 def materialise(tables: Tables, folder: str, as_of: Date, start: Date = "2019-08-01",
                 gaps: Sequence[tuple[Date, Date]] = (), shop_options: Mapping | None = None,
-                excluded_campaign: str | None = None) -> dict[str, DataFrame]:
+                excluded_campaign: str | None = None, forecast_start: Date = "2020-09-01",
+                forecast_months: int = 12) -> dict[str, DataFrame]:
     """Write the ten reports under ``folder`` and return them as read back.
 
-    A report built on another reads the written table, so each is computed once.
+    A report built on another reads the written table, so each is computed once. ``start`` is where the agents' dates
+    begin, ``forecast_start`` where those of the forecast do. Intermediate tables are removed as each report is done.
     """
     done: dict[str, DataFrame] = {}
 
-    def put(name: str, report: DataFrame) -> DataFrame:
-        write_report(report, f"{folder}/{name}")
+    def put(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        with staged(tables.spark):
+            write_report(build(), f"{folder}/{name}")
         done[name] = read_report(tables.spark, f"{folder}/{name}")
         return done[name]
 
-    shops = put("shop_dimension", shop_dimension(tables, **(shop_options or {})))
-    put("blocker_alert", blocker_alert(tables, shops))
-    mails = put("crm_events", crm_events(tables))
-    put("crm_report", crm_report(tables, mails))
-    workforce = put("workforce_days", workforce_days(tables, as_of, start))
-    calls = put("call_performance", call_performance(tables, gaps))
-    put("agent_performance", agent_performance(tables, calls, workforce, as_of, start))
-    forecast = put("demand_forecast", demand_forecast(
-        tables, calls, as_of, start, excluded_campaign=excluded_campaign))
-    put("capacity_plan", capacity_plan(tables, forecast, workforce, as_of))
-    put("market_fit", market_fit(tables))
+    shops = put("shop_dimension", lambda: shop_dimension(tables, **(shop_options or {})))
+    put("blocker_alert", lambda: blocker_alert(tables, shops))
+    mails = put("crm_events", lambda: crm_events(tables))
+    put("crm_report", lambda: crm_report(tables, mails))
+    workforce = put("workforce_days", lambda: workforce_days(tables, as_of, start))
+    calls = put("call_performance", lambda: call_performance(tables, gaps))
+    put("agent_performance", lambda: agent_performance(tables, calls, workforce, as_of, start))
+    forecast = put("demand_forecast", lambda: demand_forecast(
+        tables, calls, as_of, forecast_start, forecast_months, excluded_campaign=excluded_campaign))
+    put("capacity_plan", lambda: capacity_plan(tables, forecast, workforce, as_of))
+    put("market_fit", lambda: market_fit(tables))
     return done

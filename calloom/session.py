@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import uuid
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings, all changeable on a running session.
@@ -36,9 +40,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     )
 
 
+_scope: ContextVar[str] = ContextVar("scope", default="")
+
+
 def stage_folder(spark: SparkSession) -> str:
     """The folder of this application's intermediate tables."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/calloom-stages/{spark.sparkContext.applicationId}"
+    return f"{checkpoint_dir(spark).rstrip('/')}/calloom-stages/{spark.sparkContext.applicationId}{_scope.get()}"
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -56,3 +63,14 @@ def drop_stages(spark: SparkSession) -> None:
     """Remove this application's intermediate tables, once nothing that was built on them is read any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(stage_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def staged(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside go into a folder of their own, which is removed at the end."""
+    before = _scope.set(f"{_scope.get()}/{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        drop_stages(spark)
+        _scope.reset(before)

@@ -61,7 +61,7 @@ with best as (
 halves as (
   select distinct strftime(d, '%Y-%m') || case when extract(day from d) < 15 then '-01' else '-15' end as half_month,
     strftime(d, '%Y-%m') as month, strftime(d, '%Y') as year
-  from (select unnest(generate_series(date '1996-01-01', date '1999-12-31', interval 1 day)) as d)),
+  from (select unnest(generate_series(date '1995-01-01', date '2001-12-31', interval 1 day)) as d)),
 base as (select c.o_custkey, h.* from halves h, (select distinct o_custkey from orders) c),
 found as (
   select b.*, best.own,
@@ -74,7 +74,7 @@ from found where coalesce(own, in_month, in_year, ever) = 2
 """)
 def _(t):
     customers = t.orders.select("o_custkey").distinct()
-    base = half_month_spine(customers, "1996-01-01", "1999-12-31")
+    base = half_month_spine(customers, "1995-01-01", "2001-12-31")
     ranks = t.orders.select(
         "o_custkey", cal.half_month(order_day()).alias("half_month"),
         snap.rank_of(F.col("o_orderpriority"), PRIORITIES).alias("rank"),

@@ -259,12 +259,28 @@ def test_half_month_spine_touches_both_ends(table):
     assert values(rows, "half_month") == [("2021-01-01",), ("2021-01-15",), ("2021-02-01",)]
 
 
-def test_each_class_checks_the_number(spark, table):
+def test_each_class_has_no_limit(spark, table):
     rows = each_class(table("i int", [1]), table("c string", ["x"], ["y"], [None], ["x"]), "c")
     assert values(rows, "c") == [("x",), ("y",), (None,)]
-    many = spark.range(50).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(Exception, match="more than 10 classes"):
-        each_class(table("i int", [1]), many, "c", limit=10).collect()
+    many = spark.range(1_500).select(F.col("id").cast("string").alias("c"))
+    rows = each_class(table("i int, c string", [1, "own"], [2, None], [2, None]), many.union(many), "c")
+    assert rows.columns == ["i", "c"] and rows.count() == 3 * 1_500 and rows.distinct().count() == 2 * 1_500
+
+
+def test_pivot_props_sees_every_value_of_a_key(spark):
+    rows = spark.createDataFrame(
+        [(1, [("e", "a"), ("e", "z"), ("f", "q")]), (1, [("e", "m")]), (2, [("f", None)]), (3, None)],
+        "id int, props array<struct<key string, value string>>")
+    assert values(coh.pivot_props(rows, "props", {"e": "e", "f": "f"}, ["id"]), "id", "e", "f") == [
+        (1, "z", "q"), (1, "z", "q"), (2, None, None), (3, None, None)]
+
+
+def test_a_plan_with_two_rows_in_a_week_gives_two(table):
+    days = table("date string, week string", ["d1", "w"], ["d2", "w"], ["d3", "x"])
+    plan = table("week string, hours double, rate double", ["w", 7.0, 0.5], ["w", 14.0, 0.6])
+    rows = fc.weekly_to_daily(days, plan, "week", {"h": "hours"}, whole={"r": "rate"})
+    assert values(rows, "date", "h", "r") == [
+        ("d1", 1.0, 0.5), ("d1", 2.0, 0.6), ("d2", 1.0, 0.5), ("d2", 2.0, 0.6), ("d3", None, None)]
 
 
 def test_trailing_rate_at_three_grains(spark):
