@@ -26,25 +26,28 @@ def materialise(tables: Tables, folder: str, as_of: Date, start: Date = "2019-08
     """Write the ten reports under ``folder`` and return them as read back.
 
     A report built on another reads the written table, so each is computed once. ``start`` is where the agents' dates
-    begin, ``forecast_start`` where those of the forecast do. Intermediate tables are removed as each report is done.
+    begin, ``forecast_start`` where those of the forecast do. The two reports that others read by date are partitioned by
+    it. Intermediate tables are removed as each report is done.
     """
     done: dict[str, DataFrame] = {}
 
-    def put(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def put(name: str, build: Callable[[], DataFrame], partition_by: str | None = None) -> DataFrame:
         with staged(tables.spark):
-            write_report(build(), f"{folder}/{name}")
-        done[name] = read_report(tables.spark, f"{folder}/{name}")
+            report = build()
+            write_report(report, f"{folder}/{name}", partition_by)
+        # a partition column is read back last
+        done[name] = read_report(tables.spark, f"{folder}/{name}").select(*report.columns)
         return done[name]
 
     shops = put("shop_dimension", lambda: shop_dimension(tables, **(shop_options or {})))
     put("blocker_alert", lambda: blocker_alert(tables, shops))
     mails = put("crm_events", lambda: crm_events(tables))
     put("crm_report", lambda: crm_report(tables, mails))
-    workforce = put("workforce_days", lambda: workforce_days(tables, as_of, start))
+    workforce = put("workforce_days", lambda: workforce_days(tables, as_of, start), "date")
     calls = put("call_performance", lambda: call_performance(tables, gaps))
     put("agent_performance", lambda: agent_performance(tables, calls, workforce, as_of, start))
     forecast = put("demand_forecast", lambda: demand_forecast(
-        tables, calls, as_of, forecast_start, forecast_months, excluded_campaign=excluded_campaign))
+        tables, calls, as_of, forecast_start, forecast_months, excluded_campaign=excluded_campaign), "date")
     put("capacity_plan", lambda: capacity_plan(tables, forecast, workforce, as_of))
     put("market_fit", lambda: market_fit(tables))
     return done

@@ -62,6 +62,10 @@ def test_reports_written_in_order_equal_the_queries(spark, tmp_path):
             c: F.round(c, 6) for c, kind in rows.dtypes if kind == "double"}) for rows in (done[name], report))
         assert got.count() == expected.count() > 0, name
         assert got.exceptAll(expected).isEmpty(), name
+    # the capacity plan reads the dates from its day on only
+    plan = plans.capacity_plan(tables, done["demand_forecast"], done["workforce_days"], AS_OF)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*date#\d+ >= ", text)
 
 
 def test_the_forecast_has_a_start_of_its_own():
