@@ -32,9 +32,19 @@ HOT, HOT_LENGTH = 1 << 17, 64
 
 
 def hottest(table: DataFrame, item: str, total: str, *values: str) -> list:
-    """The rows (item, values) of the ``HOT`` most frequent short items."""
-    short = table.filter(F.length(item) <= HOT_LENGTH)
-    rows = short.orderBy(F.desc(total), item).limit(HOT).select(item, *values).toPandas()
+    """Columns (item, values) of the most frequent short items, ``HOT`` at most.
+
+    A histogram of totals, some hundred rows, gives the total from which on there are no more than that.
+    """
+    short = table.filter((F.length(item) <= HOT_LENGTH) & (F.col(total) > 0))
+    step = F.floor(F.log2(total) * 16).cast("int")
+    least, count = None, 0
+    for row in short.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        count += row["count"]
+        if count > HOT:
+            break
+        least = row["step"]
+    rows = short.filter(step >= least if least is not None else F.lit(False)).select(item, *values).toPandas()
     return [rows[name].tolist() for name in (item, *values)]
 
 
