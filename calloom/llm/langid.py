@@ -25,9 +25,9 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from calloom.llm.common import text_batches
+from calloom.llm.common import first_of_each, text_batches
 
 BUCKETS = 1 << 14
 DIM = 16
@@ -130,11 +130,10 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     """A model of the labelled rows of ``docs`` (null languages say nothing), serialised."""
     labelled = docs.select(F.col(key).alias("_key"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
     labelled = labelled.filter("_lang is not null and _text is not null").withColumn("_order", F.xxhash64("_key"))
-    by_lang = Window.partitionBy("_lang").orderBy("_order", "_key")
     # ids first, without texts; the texts of those few rows come with a join
     chosen = (
-        labelled.select("_lang", "_order", "_key").withColumn("_rank", F.row_number().over(by_lang))
-        .filter(F.col("_rank") <= PER_LANG).orderBy("_rank", "_lang").limit(MAX_DOCS).select("_key", "_lang").distinct()
+        first_of_each(labelled.select("_lang", "_order", "_key"), "_lang", ["_order", "_key"], PER_LANG)
+        .orderBy("__rank", "_lang").limit(MAX_DOCS).select("_key", "_lang").distinct()
     )
     held = F.crc32(F.concat(F.col("_key").cast("string"), F.lit("calibrate"))) % 5 == 0
     sample = labelled.join(chosen, ["_key", "_lang"], "left_semi").select("_order", "_lang", held.alias("_held"), "_text")

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from calloom.llm.common import text_batches
+from calloom.llm.common import first_of_each, text_batches
 from calloom.session import stage
 
 PER_CLASS = 8192
@@ -72,8 +72,8 @@ def held_terms(text: str) -> set[str]:
 def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
     """(_key, _label, _text): the bounded sample of labelled texts."""
     known = labels.groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label")).filter("_label in (0, 1)")
-    by_label = Window.partitionBy("_label").orderBy(F.xxhash64("_key"), "_key")
-    chosen = known.withColumn("_rank", F.row_number().over(by_label)).filter(F.col("_rank") <= PER_CLASS).drop("_rank")
+    known = known.withColumn("_order", F.xxhash64("_key"))
+    chosen = first_of_each(known, "_label", ["_order", "_key"], PER_CLASS).select("_key", "_label")
     # at most 2 * PER_CLASS pairs of numbers
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).filter("_text is not null")
     rows = texts.join(F.broadcast(chosen), "_key").withColumn("_hash", F.xxhash64("_text"))
