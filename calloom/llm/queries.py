@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,6 +17,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Settings of the operators."""
     # whole texts travel through Arrow: small batches keep a worker's memory flat
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    # Python workers import this package from where the driver has it, if their own path lacks it
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), root]))
     return tune(spark)
 
 
