@@ -1,24 +1,27 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine from a block-max inverted index, and weighted votes.
 
 Fitting takes a bounded sample of labelled rows (``PER_CLASS`` of each label, those with the smallest hashes of their
-ids). Terms are words, and beginnings of 4 to 8 letters of longer words, so that compounds and inflections count as
-what they begin with; a beginning found twice, or three times, in a text is a term of its own, as some are rare only in
-such number. The terms kept are those that the sample's toxic texts hold more often (chi-squared of at least ``MIN_CHI2``, at most
-``MAX_TERMS``); all others say nothing about toxicity and would drown those that do. An example is its TF-IDF vector
-over these terms, of length one.
+ids). Terms are all words of a text. To them come beginnings of 4 to 8 letters of longer words, so that compounds and
+inflections count as what they begin with; a beginning found twice, or three times, in a text is a term of its own, as
+some are rare only in such number. Of the beginnings those are terms that the sample's toxic texts hold more often
+(chi-squared of at least ``MIN_CHI2``, at most ``MAX_LEANING``). Words and beginnings that lean so weigh the root of their
+chi-squared more; no word is left out. Document frequencies are counted over all documents given. An example is its
+weighted TF-IDF vector over all its terms, of length one.
 
 The inverted index holds, by term, the examples' weights in blocks of ``BLOCK`` examples and the largest weight of each
-block. A query bounds each block's best cosine by those maxima, reads blocks from the highest bound down, and stops
-where no block can reach the k-th best found: the ``NEIGHBOURS`` nearest are exact. They vote with the square of their
+block. A query bounds each block's best cosine by those maxima, reads the ``FIRST`` blocks of the highest bounds, and then
+those that can still reach the k-th best found: the ``NEIGHBOURS`` nearest are exact. They vote with the square of their
 cosine, against a prior of fixed weight; a logistic curve fitted to the votes that examples get from all others, with
 classes weighed as in the labels, makes that a calibrated score.
 
-Index and terms have a size fixed by these parameters and are broadcast; scoring is one scan of whole texts.
+The index over the sample's terms and the frequencies of the most frequent words are broadcast. All other words of a
+text touch only the length of its vector: their frequencies are joined by word and summed per document.
 
-Defined cases: null, empty and termless texts have no neighbours and get the score that such examples deserve; without
-labels, or with labels of one kind, the score is the share of toxic labels (0 without any); a doc_id with several labels
-is toxic if one says so; labels other than 0 and 1 say nothing; repeated texts among the examples count once; equal
-cosines go to the smaller doc_id; repeated rows give repeated results.
+Defined cases: null, empty and wordless texts have no neighbours and get the score that such examples deserve; a word
+that no document of the fit holds counts as held by one; without labels, or with labels of one kind, the score is the
+share of toxic labels (0 without any); a doc_id with several labels is toxic if one says so; labels other than 0 and 1
+say nothing; repeated texts among the examples count once; equal cosines go to the smaller doc_id; repeated rows give
+repeated results.
 """
 
 from __future__ import annotations
@@ -27,25 +30,29 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from calloom.llm.common import first_of_each, text_batches
+from calloom.llm.common import add_rest, first_of_each, hottest, row_keys, text_batches
 from calloom.session import stage
 
 PER_CLASS = 8192
 MIN_CHI2 = 25.0
-MAX_TERMS = 4096
+#: Terms that weigh more because they lean toxic, at most.
+MAX_LEANING = 4096
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: Times that a beginning has to occur for its terms.
 TIMES = (1, 2, 3)
 BLOCK = 64
+#: Blocks that a query reads before it asks which others can matter.
+FIRST = 8
 NEIGHBOURS = 10
 PRIOR_WEIGHT = 0.5
-#: Words and queries whose outcome a worker keeps.
-KEPT_WORDS, KEPT_QUERIES = 300_000, 100_000
+#: Words that a worker keeps, and counts that a task gathers before it passes them on.
+KEPT_WORDS, KEPT_COUNTS = 300_000, 300_000
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -70,7 +77,7 @@ def held_terms(text: str) -> set[str]:
 
 
 def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
-    """(_key, _label, _text): the bounded sample of labelled texts."""
+    """(_key, _label, _hash, _text): the bounded sample of labelled texts, each text and hash once."""
     known = labels.groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label")).filter("_label in (0, 1)")
     known = known.withColumn("_order", F.xxhash64("_key"))
     chosen = first_of_each(known, "_label", ["_order", "_key"], PER_CLASS).select("_key", "_label")
@@ -79,11 +86,11 @@ def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     rows = texts.join(F.broadcast(chosen), "_key").withColumn("_hash", F.xxhash64("_text"))
     own = Window.partitionBy("_hash").orderBy("_key")
     rows = rows.withColumn("_copy", F.row_number().over(own)).filter("_copy = 1")
-    return rows.orderBy("_hash").limit(2 * PER_CLASS).select("_key", "_label", "_text")
+    return rows.orderBy("_hash").limit(2 * PER_CLASS).select("_key", "_label", "_hash", "_text")
 
 
-def choose_terms(examples: DataFrame) -> dict[str, tuple[int, float]]:
-    """Number and inverse document frequency of each term kept."""
+def leaning_terms(examples: DataFrame) -> dict[str, float] | None:
+    """How much more the terms weigh that lean toxic; None without examples of both labels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches, "_text"):
@@ -100,45 +107,68 @@ def choose_terms(examples: DataFrame) -> dict[str, tuple[int, float]]:
     sizes = {row["_label"]: row["count"] for row in examples.groupBy("_label").count().collect()}
     n0, n1 = float(sizes.get(0, 0)), float(sizes.get(1, 0))
     if not n0 or not n1:
-        return {}
-    counted = examples.mapInArrow(run, "term string, clean long, toxic long").groupBy("term")
+        return None
+    counted = examples.select("_label", "_text").mapInArrow(run, "term string, clean long, toxic long").groupBy("term")
     counted = counted.agg(F.sum("clean").alias("a"), F.sum("toxic").alias("b"))
     a, b = F.col("a"), F.col("b")
     both = (a + b) * (F.lit(n0 + n1) - a - b)
     chi2 = F.when(both > 0, (n0 + n1) * F.pow(b * (n0 - a) - a * (n1 - b), 2) / (both * n0 * n1)).otherwise(F.lit(0.0))
     kept = counted.withColumn("chi2", chi2).filter((F.col("chi2") >= MIN_CHI2) & (b * n0 > a * n1))
-    rows = kept.orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).collect()
-    return {row["term"]: (i, math.log(1 + (n0 + n1) / (row["a"] + row["b"]))) for i, row in enumerate(rows)}
+    return {row["term"]: math.sqrt(row["chi2"]) for row in kept.orderBy(F.desc("chi2"), "term").limit(MAX_LEANING).collect()}
 
 
-class Vectors:
-    """TF-IDF vectors of texts over the kept terms, with a bounded memory of words."""
+class Terms:
+    """The terms of texts, with a bounded memory of words."""
 
-    def __init__(self, terms: dict[str, tuple[int, float]]):
-        self.terms, self.words, self.levels = terms, {}, {}
-        self.idf = np.array([idf for _, idf in terms.values()])
-        for term in terms:
-            base = term[: term.index("-") + 1] if "-" in term else term
-            self.levels[base] = [(n, terms[t][0]) for n, t in base_terms(base) if t in terms]
+    def __init__(self, leaning: dict[str, float]):
+        self.words, self.levels = {}, {}
+        for term in leaning:
+            if "-" in term:
+                base = term[: term.index("-") + 1]
+                self.levels[base] = [(n, t) for n, t in base_terms(base) if t in leaning]
 
-    def query(self, text: str) -> tuple[tuple[int, int], ...]:
-        """(term, times) of the kept terms in a text, in order; a term of several occurrences counts once."""
+    def of(self, text: str) -> dict[str, int]:
+        """All words of a text with their number, and its leaning beginnings, once each."""
+        held = Counter(LETTERS.findall(text.lower()))
         counts: Counter = Counter()
-        for word, n in Counter(LETTERS.findall(text.lower())).items():
+        for word, n in held.items():
             found = self.words.get(word)
             if found is None:
                 if len(self.words) >= KEPT_WORDS:
                     self.words.clear()
-                found = self.words[word] = tuple(base for base in word_bases(word) if base in self.levels)
+                found = self.words[word] = tuple(base for base in word_bases(word)[1:] if base in self.levels)
             for base in found:
                 counts[base] += n
-        held = [(t, n if least == 1 else 1) for base, n in counts.items() for least, t in self.levels[base] if n >= least]
-        return tuple(sorted(held))
+        for base, n in counts.items():
+            held.update(t for least, t in self.levels[base] if n >= least)
+        return held
 
-    def weights(self, query: tuple[tuple[int, int], ...]) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.array([term for term, _ in query], np.int64)
-        weights = (1 + np.log([n for _, n in query])) * self.idf[terms] if query else np.zeros(0)
-        return terms, weights / (np.linalg.norm(weights) or 1.0)
+
+def document_frequencies(docs: DataFrame, leaning: dict[str, float], text: str = "text") -> DataFrame:
+    """(term, c) over all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, counts = Terms(leaning), Counter()
+
+        def passed_on() -> pa.RecordBatch:
+            made = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
+            counts.clear()
+            return pa.RecordBatch.from_arrays(made, names=["term", "n"])
+
+        for _, texts in text_batches(batches, text):
+            for t in texts:
+                counts.update(terms.of(t).keys())
+                if len(counts) >= KEPT_COUNTS:
+                    yield passed_on()
+        yield passed_on()
+
+    return docs.select(text).mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("c"))
+
+
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers from each start up to its end, and how many each has."""
+    sizes = ends - starts
+    return np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes), sizes
 
 
 class BlockMaxIndex:
@@ -146,75 +176,89 @@ class BlockMaxIndex:
 
     def __init__(self, keys: np.ndarray, labels: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
         self.keys, self.labels, self.n_blocks = keys, labels, -(-len(keys) // BLOCK)
-        postings: list[list[tuple[int, float]]] = [[] for _ in range(n_terms)]
-        for example, (terms, weights) in enumerate(vectors):
-            for term, weight in zip(terms.tolist(), weights.tolist()):
-                postings[term].append((example, weight))
-        self.examples, self.weights, self.blocks, self.starts, self.maxima = [], [], [], [], []
-        for entries in postings:
-            examples = np.array([e for e, _ in entries], np.int64)
-            weights = np.array([w for _, w in entries])
-            blocks, starts = np.unique(examples // BLOCK, return_index=True)
-            self.examples.append(examples), self.weights.append(weights), self.blocks.append(blocks)
-            self.starts.append(np.r_[starts, len(examples)])
-            self.maxima.append(np.maximum.reduceat(weights, starts) if len(starts) else weights)
+        examples = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(terms) for terms, _ in vectors])
+        terms = np.concatenate([np.zeros(0, np.int64), *(terms for terms, _ in vectors)])
+        order = np.argsort(terms, kind="stable")
+        terms, self.examples = terms[order], examples[order]
+        self.weights = np.concatenate([np.zeros(0), *(weights for _, weights in vectors)])[order]
+        blocks = self.examples // BLOCK
+        new = np.flatnonzero((np.diff(terms, prepend=-1) != 0) | (np.diff(blocks, prepend=-1) != 0))
+        self.blocks, self.starts = blocks[new], np.r_[new, len(terms)]
+        self.maxima = np.maximum.reduceat(self.weights, new) if len(new) else self.weights
+        self.entries = np.searchsorted(terms[new], np.arange(n_terms + 1))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of highest cosine above 0, ties to the smaller key, and their cosines."""
-        bounds = np.zeros(self.n_blocks)
-        for term, weight in zip(terms, weights):
-            bounds[self.blocks[term]] += weight * self.maxima[term]
-        order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
+        entries, sizes = _ranges(self.entries[terms], self.entries[terms + 1])
+        weights, blocks = np.repeat(weights, sizes), self.blocks[entries]
+        bounds = np.bincount(blocks, weights * self.maxima[entries], self.n_blocks)
+        unread = bounds > 0
         found, cosines = np.zeros(0, np.int64), np.zeros(0)
-        at, step = 0, 4
-        while at < len(order):
-            if len(found) >= k and bounds[order[at]] < cosines[k - 1] - 1e-12:
-                break
-            read = np.sort(order[at : at + step])
-            sums = np.zeros((len(read), BLOCK))
-            for term, weight in zip(terms, weights):
-                blocks, starts = self.blocks[term], self.starts[term]
-                own = np.searchsorted(blocks, read)
-                for row, block in enumerate(own.tolist()):
-                    if block < len(blocks) and blocks[block] == read[row]:
-                        span = slice(starts[block], starts[block + 1])
-                        sums[row, self.examples[term][span] % BLOCK] += weight * self.weights[term][span]
-            rows, columns = np.nonzero(sums > 0)
-            new = read[rows] * BLOCK + columns
-            values = np.minimum(np.round(sums[rows, columns], 12), 1.0)
-            new, values = new[new != without], values[new != without]
-            found, cosines = np.r_[found, new], np.r_[cosines, values]
+        for last in (False, True):
+            read = unread.copy()
+            if not last and self.n_blocks > FIRST:
+                read &= bounds >= np.partition(bounds, -FIRST)[-FIRST]
+            elif len(found) >= k:
+                read &= bounds >= cosines[k - 1] - 1e-11
+            unread &= ~read
+            if not read.any():
+                continue
+            chosen = read[blocks]
+            own = entries[chosen]
+            postings, sizes = _ranges(self.starts[own], self.starts[own + 1])
+            values = np.repeat(weights[chosen], sizes) * self.weights[postings]
+            sums = np.bincount(self.examples[postings], values, len(self.keys))
+            if without >= 0:
+                sums[without] = 0
+            least = np.partition(sums, -k)[-k] - 1e-11 if len(sums) > k else 0.0
+            new = np.flatnonzero((sums >= least) & (sums > 0))
+            found, cosines = np.r_[found, new], np.r_[cosines, np.minimum(np.round(sums[new], 12), 1.0)]
             best = np.lexsort((self.keys[found], -cosines))[:k]
             found, cosines = found[best], cosines[best]
-            at, step = at + step, step * 2
         return found, cosines
 
 
 class Model:
-    """The index with what turns votes into scores."""
-
-    def __init__(self, terms: dict, rows: list[tuple[int, int, tuple]], share: float):
-        self.vectors, self.share = Vectors(terms), share
-        # examples of the same leading terms stand together, which keeps the blocks' maxima apart
-        rows = sorted(rows, key=lambda row: ([term for term, _ in row[2]][:3], row[0]))
-        made = [self.vectors.weights(query) for _, _, query in rows]
-        self.index = BlockMaxIndex(
-            np.array([row[0] for row in rows], np.int64), np.array([row[1] for row in rows], np.int64), made, len(terms)
-        )
-        self.slope, self.offset, self.seen = 0.0, 0.0, {}
-        if terms:
-            self._calibrate(rows, made)
-
-    def _vote(self, examples: np.ndarray, cosines: np.ndarray) -> float:
+    """The index with what turns votes into scores; without an index the score is the share of toxic labels."""
+
+    def __init__(self, share: float):
+        self.share, self.index, self.frequencies, self.terms = share, None, None, Terms({})
+
+    def known_terms(self, leaning: dict[str, float], n_docs: int, indexed: pa.Table, frequent: tuple[list, list]) -> None:
+        """Number the terms: those indexed first, then the frequent words that no example has."""
+        self.terms, self.n_docs, self.n_terms = Terms(leaning), n_docs, indexed.num_rows
+        self.numbers = {term: i for i, term in enumerate(indexed.column("term").to_pylist())}
+        counts = indexed.column("c").to_pylist()
+        for term, c in zip(*frequent):
+            if term not in self.numbers:
+                self.numbers[term] = len(self.numbers)
+                counts.append(c)
+        factors = np.array([leaning.get(term, 1.0) for term in self.numbers])
+        self.idf = factors * np.log1p(n_docs / np.array(counts, np.float64))
+
+    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray, float, list[tuple[str, int]]]:
+        """Indexed terms and their weights, the square of the vector's length so far, and the words not broadcast."""
+        held = self.terms.of(text)
+        numbers = np.fromiter((self.numbers.get(term, -1) for term in held), np.int64, len(held))
+        weights = 1 + np.log(np.fromiter(held.values(), np.float64, len(held)))
+        rest = [(term, n) for (term, n), i in zip(held.items(), numbers.tolist()) if i < 0] if numbers.min(initial=0) < 0 else []
+        numbers, weights = numbers[numbers >= 0], weights[numbers >= 0]
+        weights = weights * self.idf[numbers]
+        own = numbers < self.n_terms
+        return numbers[own], weights[own], float(weights @ weights), rest
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray, float]:
+        """The nearest examples, their cosines with these terms alone, and the square of the terms' length."""
+        square = float(weights @ weights)
+        return *self.index.nearest(terms, weights / (math.sqrt(square) or 1.0), NEIGHBOURS, without), square
+
+    def vote(self, labels: np.ndarray, cosines: np.ndarray) -> float:
         power = cosines**2
-        vote = (power @ self.index.labels[examples] + PRIOR_WEIGHT * self.share) / (power.sum() + PRIOR_WEIGHT)
+        vote = (power @ labels + PRIOR_WEIGHT * self.share) / (power.sum() + PRIOR_WEIGHT)
         return math.log(max(vote, 1e-6) / max(1 - vote, 1e-6))
 
-    def _calibrate(self, rows: list, made: list) -> None:
-        """Logistic regression of label on vote, each example's vote taken from all others."""
-        labels = self.index.labels
-        votes = np.array([self._vote(*self.index.nearest(*v, NEIGHBOURS, without=i)) for i, v in enumerate(made)])
+    def calibrate(self, labels: np.ndarray, votes: np.ndarray) -> None:
+        """Logistic regression of label on vote."""
         n1 = int(labels.sum())
         n0 = len(labels) - n1
         weights = np.where(labels == 1, self.share / n1, (1 - self.share) / n0) * len(labels)
@@ -231,63 +275,128 @@ class Model:
                 break
         self.slope, self.offset = max(float(fitted[0]), 0.0), float(fitted[1])
 
+    def judged(self, labels: np.ndarray, cosines: np.ndarray) -> float:
+        return 1 / (1 + math.exp(-min(max(self.slope * self.vote(labels, cosines) + self.offset, -30), 30)))
+
     def score(self, text: str) -> tuple[float, list[int], list[float]]:
-        """Score, doc_ids of the nearest examples, and their cosines."""
-        query = self.vectors.query(text) if self.vectors.terms else ()
-        known = self.seen.get(query)
-        if known is None:
-            if len(self.seen) >= KEPT_QUERIES:
-                self.seen.clear()
-            if self.vectors.terms:
-                examples, cosines = self.index.nearest(*self.vectors.weights(query), NEIGHBOURS)
-                chance = 1 / (1 + math.exp(-min(max(self.slope * self._vote(examples, cosines) + self.offset, -30), 30)))
-                known = (chance, self.index.keys[examples].tolist(), cosines.tolist())
-            else:
-                known = (self.share, [], [])
-            self.seen[query] = known
-        return known
+        """Score, doc_ids of the nearest examples, and their cosines; words not broadcast count as held by one document."""
+        if self.index is None:
+            return self.share, [], []
+        terms, weights, square, rest = self.vector(text)
+        square += sum(((1 + math.log(n)) * math.log1p(self.n_docs)) ** 2 for _, n in rest)
+        examples, cosines, own = self.nearest(terms, weights)
+        cosines = np.minimum(np.round(cosines * math.sqrt(own / (square or 1.0)), 12), 1.0)
+        return self.judged(self.index.labels[examples], cosines), self.index.keys[examples].tolist(), cosines.tolist()
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """A model of the labels given; the driver sees the kept terms and the sample's counts of them."""
+    """A model of the labels given; the driver sees the sample's vectors and the frequent words."""
     examples = stage(sample(docs, labels, key, text, label))
-    terms = choose_terms(examples)
-    shared = docs.sparkSession.sparkContext.broadcast(terms)
+    known = labels.groupBy(key).agg(F.max(label).alias("_label")).filter("_label in (0, 1)")
+    model = Model(float(known.agg(F.avg("_label")).first()[0] or 0.0))
+    leaning = leaning_terms(examples)
+    if leaning is None:
+        return model
+    model.frequencies = stage(document_frequencies(docs, leaning, text))
+    words = document_frequencies(examples, leaning, "_text").select("term")
+    indexed = model.frequencies.join(words, "term").toArrow()
+    model.known_terms(leaning, docs.count(), indexed, hottest(model.frequencies, "term", "c", "c"))
+    sparkContext, frequencies = docs.sparkSession.sparkContext, model.frequencies
+    model.frequencies = None  # no part of what workers read
+    shared = sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors = Vectors(shared.value)
-        pair = pa.list_(pa.int64())
         for batch, texts in text_batches(batches, "_text"):
-            queries = [vectors.query(t) if shared.value else () for t in texts]
-            made = [pa.array([[x[i] for x in q] for q in queries], pair) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("_label"), *made], names=["k", "l", "t", "n"])
-
-    schema = T.StructType([
-        T.StructField("k", examples.schema["_key"].dataType), T.StructField("l", examples.schema["_label"].dataType),
-        T.StructField("t", T.ArrayType(T.LongType())), T.StructField("n", T.ArrayType(T.LongType())),
-    ])
-    rows = [(r["k"], r["l"], tuple(zip(r["t"], r["n"]))) for r in examples.mapInArrow(run, schema).collect()]
-    known = labels.groupBy(key).agg(F.max(label).alias("_label")).filter("_label in (0, 1)")
-    share = known.agg(F.avg("_label")).first()[0]
-    return Model(terms, rows, float(share or 0.0))
+            made = [shared.value.vector(t)[:2] for t in texts]
+            lists = [pa.array([v[0] for v in made], pa.list_(pa.int32())), pa.array([v[1] for v in made], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("_key", "_label", "_hash")), *lists], names=["k", "l", "h", "t", "w"])
+
+    schema = "k long, l int, h long, t array<int>, w array<double>"
+    plain = examples.select(F.col("_key").cast("long"), F.col("_label").cast("int"), "_hash", "_text")
+    rows = plain.mapInArrow(run, schema).toArrow().combine_chunks()
+    keys, kinds, hashes = (rows.column(c).to_numpy() for c in "klh")
+    terms, weights = (pa.concat_arrays(rows.column(c).chunks) for c in "tw")
+    spans, terms, weights = terms.offsets.to_numpy(), terms.values.to_numpy(), weights.values.to_numpy()
+    vectors = [(terms[a:b].astype(np.int64), weights[a:b]) for a, b in zip(spans[:-1], spans[1:])]
+    vectors = [(t, w / (np.linalg.norm(w) or 1.0)) for t, w in vectors]
+    # examples of the same leading term stand together, which keeps the blocks' maxima apart
+    leading = np.array([t[np.argmax(w)] if len(t) else -1 for t, w in vectors])
+    order = np.lexsort((hashes, keys, leading))
+    model.index = BlockMaxIndex(keys[order], kinds[order].astype(np.int64), [vectors[i] for i in order], model.n_terms)
+    places = {h: i for i, h in enumerate(hashes[order].tolist())}
+    fitted = sparkContext.broadcast(model)
+
+    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each example's vote by all others."""
+        own = fitted.value
+        for batch, texts in text_batches(batches, "_text"):
+            at, made = [places[h] for h in batch.column("_hash").to_pylist()], []
+            for t, place in zip(texts, at):
+                found, cosines, _ = own.nearest(*own.vector(t)[:2], place)
+                made.append(own.vote(own.index.labels[found], cosines))
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(made, pa.float64())], names=["i", "vote"])
+
+    spread = plain.repartition(sparkContext.defaultParallelism * 2)
+    found = spread.mapInArrow(votes, "i long, vote double").toArrow()
+    model.calibrate(model.index.labels[found.column("i").to_numpy()], found.column("vote").to_numpy())
+    model.frequencies = frequencies
+    return model
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """score, predicted, and as evidence the nearest examples' ids and cosines, in place of the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    frequencies, own = model.frequencies, copy(model)
+    own.frequencies = None  # no part of what workers read
+    shared = docs.sparkSession.sparkContext.broadcast(own)
     added = ["score", "predicted", "neighbours", "cosines"]
     kept = [f for f in docs.schema.fields if f.name not in (text, *added)]
+    if frequencies is None:
+        nothing = [F.lit(model.share), F.lit(int(model.share >= 0.5)), F.array().cast("array<long>"), F.array().cast("array<double>")]
+        return docs.select(*(f.name for f in kept), *(c.alias(name) for c, name in zip(nothing, added)))
+    entry = T.StructType([T.StructField("item", T.StringType()), T.StructField("n", T.LongType())])
+    searched = [
+        T.StructField("__examples", T.ArrayType(T.IntegerType())), T.StructField("__found", T.ArrayType(T.DoubleType())),
+        T.StructField("__own", T.DoubleType()), T.StructField("__square", T.DoubleType()),
+        T.StructField("__key", T.LongType()), T.StructField("__rest", T.ArrayType(entry)),
+    ]
+    schema = T.StructType([*kept, *searched])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, pairs = 0, pa.list_(pa.struct([("item", pa.string()), ("n", pa.int64())]))
+        for batch, texts in text_batches(batches, text):
+            found, squares, rests = [], [], []
+            for t in texts:
+                terms, weights, square, rest = shared.value.vector(t)
+                found.append(shared.value.nearest(terms, weights)), squares.append(square)
+                rests.append([{"item": word, "n": n} for word, n in rest])
+            made = [
+                pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float64())),
+                pa.array([f[2] for f in found], pa.float64()), pa.array(squares, pa.float64()),
+                pa.array(row_keys(len(texts), first), pa.int64()), pa.array(rests, pairs),
+            ]
+            first += len(texts)
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *made], names=schema.names)
+
+    rows = stage(docs.select(*(f.name for f in kept), text).mapInArrow(search, schema))
+    idf = F.log1p(F.lit(float(model.n_docs)) / F.coalesce("c", F.lit(1)))
+    whole = add_rest(rows, frequencies, "term", {"__square": F.pow((1 + F.log(F.col("n"))) * idf, F.lit(2.0))})
     types = [T.DoubleType(), T.IntegerType(), T.ArrayType(T.LongType()), T.ArrayType(T.DoubleType())]
-    schema = T.StructType([*kept, *map(T.StructField, added, types)])
+    result = T.StructType([*kept, *map(T.StructField, added, types)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
-        for batch, texts in text_batches(batches, text):
-            found = [fitted.score(t) for t in texts]
+        for batch in batches:
+            found, near, cosines = [], [], []
+            read = zip(*(batch.column(c).to_pylist() for c in ("__examples", "__found", "__own", "__square")))
+            for examples, values, part, square in read:
+                at = np.array(examples, np.int64)
+                values = np.minimum(np.round(np.array(values) * math.sqrt(part / (square or 1.0)), 12), 1.0)
+                found.append(fitted.judged(fitted.index.labels[at], values))
+                near.append(fitted.index.keys[at]), cosines.append(values)
             made = [
-                pa.array([f[0] for f in found], pa.float64()), pa.array([int(f[0] >= 0.5) for f in found], pa.int32()),
-                pa.array([f[1] for f in found], pa.list_(pa.int64())), pa.array([f[2] for f in found], pa.list_(pa.float64())),
+                pa.array(found, pa.float64()), pa.array([int(f >= 0.5) for f in found], pa.int32()),
+                pa.array(near, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64())),
             ]
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *made], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *made], names=result.names)
 
-    return docs.select(*(f.name for f in kept), text).mapInArrow(run, schema)
+    return whole.mapInArrow(judge, result)

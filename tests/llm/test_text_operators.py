@@ -221,3 +221,19 @@ def test_toxicity_hard_cases(spark, hard, none):
     rows = toxicity.predict(hard, model).collect()
     assert len(rows) == len(HARD) and all(0 <= row.score <= 1 and row.rest == "own" for row in rows)
     assert toxicity.predict(none, model).count() == 0
+
+
+def test_toxicity_of_whole_texts(spark):
+    """Every text with words finds its nearest example by all its words, whether or not any of them leans toxic."""
+    texts = [(i, f"you idiotic one, {'abcdefghij'[i // 20]}x {'klmnopqrst'[i % 20 // 2]}y" if i % 2 else f"a day {i} alpha {chr(97 + i % 26) * 3}") for i in range(200)]
+    texts += [(500, "seven quiet rivers"), (501, "Seven quiet rivers"), (502, "quiet unseen words in here")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([*((i, i % 2) for i in range(200)), (500, 0)], "doc_id long, toxic int")
+    rows = {r.doc_id: r for r in toxicity.predict(docs, toxicity.fit(docs, labels)).collect()}
+    for i in (500, 501):
+        assert (rows[i].neighbours, rows[i].cosines) == ([500], [1.0])
+    # frequencies over all 203 documents, those outside the sample among them
+    idf = {w: math.log1p(203 / n) for w, n in (("seven", 2), ("quiet", 3), ("rivers", 2), ("unseen", 1))}
+    lengths = [math.sqrt(idf["seven"] ** 2 + idf["quiet"] ** 2 + idf["rivers"] ** 2), math.sqrt(idf["quiet"] ** 2 + 4 * idf["unseen"] ** 2)]
+    assert rows[502].neighbours == [500]
+    assert rows[502].cosines[0] == pytest.approx(idf["quiet"] ** 2 / (lengths[0] * lengths[1]), abs=1e-9)
