@@ -10,7 +10,9 @@ weighted TF-IDF vector over all its terms, of length one.
 
 The inverted index holds, by term, the examples' weights in blocks of ``BLOCK`` examples and the largest weight of each
 block. A query bounds each block's best cosine by those maxima, reads the ``FIRST`` blocks of the highest bounds, and then
-those that can still reach the k-th best found: the ``NEIGHBOURS`` nearest are exact. They vote with the square of their
+those that can still reach the k-th best found. What the ``DENSE`` most frequent terms add to the bounds and sums comes from
+one product of a matrix in single precision for a batch of queries; all that can be among the best within its error is
+summed again in double precision: the ``NEIGHBOURS`` nearest are exact. They vote with the square of their
 cosine, against a prior of fixed weight; a logistic curve fitted to the votes that examples get from all others, with
 classes weighed as in the labels, makes that a calibrated score.
 
@@ -28,9 +30,9 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
-from copy import copy
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,8 @@ TIMES = (1, 2, 3)
 BLOCK = 64
 #: Blocks that a query reads before it asks which others can matter.
 FIRST = 8
+#: Terms kept as rows of a matrix, the error that single precision can add to a cosine, and queries to a product.
+DENSE, ERROR, BATCH = 256, 2e-5, 64
 NEIGHBOURS = 10
 PRIOR_WEIGHT = 0.5
 #: Words that a worker keeps, and counts that a task gathers before it passes them on.
@@ -181,17 +185,44 @@ class BlockMaxIndex:
         order = np.argsort(terms, kind="stable")
         terms, self.examples = terms[order], examples[order]
         self.weights = np.concatenate([np.zeros(0), *(weights for _, weights in vectors)])[order]
+        often = np.bincount(terms, minlength=n_terms)
+        frequent = np.argsort(-often, kind="stable")[:DENSE]
+        self.rows = np.full(n_terms, -1)
+        self.rows[frequent] = np.arange(len(frequent))
+        row = self.rows[terms]
+        self.dense = np.zeros((len(frequent), len(keys)))
+        self.dense[row[row >= 0], self.examples[row >= 0]] = self.weights[row >= 0]
+        self.single = self.dense.astype(np.float32)
+        terms, self.examples, self.weights = terms[row < 0], self.examples[row < 0], self.weights[row < 0]
         blocks = self.examples // BLOCK
         new = np.flatnonzero((np.diff(terms, prepend=-1) != 0) | (np.diff(blocks, prepend=-1) != 0))
         self.blocks, self.starts = blocks[new], np.r_[new, len(terms)]
         self.maxima = np.maximum.reduceat(self.weights, new) if len(new) else self.weights
         self.entries = np.searchsorted(terms[new], np.arange(n_terms + 1))
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def frequent(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the most frequent terms add to each query's cosine with each example, in single precision."""
+        made = np.zeros((len(queries), len(self.dense)), np.float32)
+        for query, (terms, weights) in zip(made, queries):
+            rows = self.rows[terms]
+            query[rows[rows >= 0]] = weights[rows >= 0]
+        return made @ self.single
+
+    def nearest(
+        self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1, frequent: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of highest cosine above 0, ties to the smaller key, and their cosines."""
+        if not len(self.keys):
+            return np.zeros(0, np.int64), np.zeros(0)
+        if frequent is None:
+            frequent = self.frequent([(terms, weights)])[0]
+        rows = self.rows[terms]
+        rows, high = rows[rows >= 0], weights[rows >= 0]
+        terms, weights = terms[self.rows[terms] < 0], weights[self.rows[terms] < 0]
         entries, sizes = _ranges(self.entries[terms], self.entries[terms + 1])
         weights, blocks = np.repeat(weights, sizes), self.blocks[entries]
         bounds = np.bincount(blocks, weights * self.maxima[entries], self.n_blocks)
+        bounds = bounds + np.maximum.reduceat(frequent, np.arange(0, len(self.keys), BLOCK))
         unread = bounds > 0
         found, cosines = np.zeros(0, np.int64), np.zeros(0)
         for last in (False, True):
@@ -199,7 +230,7 @@ class BlockMaxIndex:
             if not last and self.n_blocks > FIRST:
                 read &= bounds >= np.partition(bounds, -FIRST)[-FIRST]
             elif len(found) >= k:
-                read &= bounds >= cosines[k - 1] - 1e-11
+                read &= bounds >= cosines[k - 1] - ERROR
             unread &= ~read
             if not read.any():
                 continue
@@ -207,12 +238,14 @@ class BlockMaxIndex:
             own = entries[chosen]
             postings, sizes = _ranges(self.starts[own], self.starts[own + 1])
             values = np.repeat(weights[chosen], sizes) * self.weights[postings]
-            sums = np.bincount(self.examples[postings], values, len(self.keys))
+            low = np.bincount(self.examples[postings], values, len(self.keys))
+            sums = (low + frequent) * np.repeat(read, BLOCK)[: len(self.keys)]
             if without >= 0:
                 sums[without] = 0
-            least = np.partition(sums, -k)[-k] - 1e-11 if len(sums) > k else 0.0
+            least = np.partition(sums, -k)[-k] - 2 * ERROR if len(sums) > k else 0.0
             new = np.flatnonzero((sums >= least) & (sums > 0))
-            found, cosines = np.r_[found, new], np.r_[cosines, np.minimum(np.round(sums[new], 12), 1.0)]
+            exact = low[new] + high @ self.dense[np.ix_(rows, new)]
+            found, cosines = np.r_[found, new], np.r_[cosines, np.minimum(np.round(exact, 12), 1.0)]
             best = np.lexsort((self.keys[found], -cosines))[:k]
             found, cosines = found[best], cosines[best]
         return found, cosines
@@ -222,7 +255,8 @@ class Model:
     """The index with what turns votes into scores; without an index the score is the share of toxic labels."""
 
     def __init__(self, share: float):
-        self.share, self.index, self.frequencies, self.terms = share, None, None, Terms({})
+        self.share, self.made, self.frequencies, self.terms = share, None, None, Terms({})
+        self.numbers, self.packed = {}, []
 
     def known_terms(self, leaning: dict[str, float], n_docs: int, indexed: pa.Table, frequent: tuple[list, list]) -> None:
         """Number the terms: those indexed first, then the frequent words that no example has."""
@@ -236,6 +270,11 @@ class Model:
         factors = np.array([leaning.get(term, 1.0) for term in self.numbers])
         self.idf = factors * np.log1p(n_docs / np.array(counts, np.float64))
 
+    def counts(self, text: str) -> tuple[list[int], list[int]]:
+        """Numbers of a text's terms, all of them known, and how often it holds them."""
+        held = self.terms.of(text)
+        return [self.numbers[term] for term in held], list(held.values())
+
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray, float, list[tuple[str, int]]]:
         """Indexed terms and their weights, the square of the vector's length so far, and the words not broadcast."""
         held = self.terms.of(text)
@@ -247,10 +286,38 @@ class Model:
         own = numbers < self.n_terms
         return numbers[own], weights[own], float(weights @ weights), rest
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray, float]:
-        """The nearest examples, their cosines with these terms alone, and the square of the terms' length."""
-        square = float(weights @ weights)
-        return *self.index.nearest(terms, weights / (math.sqrt(square) or 1.0), NEIGHBOURS, without), square
+    def pack(self, *parts: np.ndarray) -> None:
+        """Keep the examples' keys, labels, first terms, terms, and how often they hold them; only these travel to workers."""
+        self.packed = [(zlib.compress(part.tobytes(), 1), part.dtype) for part in parts]
+
+    @property
+    def index(self) -> BlockMaxIndex:
+        """Made where it is first asked for, so not on the driver."""
+        if self.made is None:
+            keys, labels, spans, terms, times = (np.frombuffer(zlib.decompress(part), kind) for part, kind in self.packed)
+            weights = (1 + np.log(times)) * self.idf[terms]
+            vectors = [(terms[a:b].astype(np.int64), weights[a:b]) for a, b in zip(spans[:-1], spans[1:])]
+            vectors = [(t, w / (np.linalg.norm(w) or 1.0)) for t, w in vectors]
+            self.made = BlockMaxIndex(keys, labels, vectors, self.n_terms)
+        return self.made
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"made": None, "frequencies": None, "numbers": "\n".join(self.numbers)}
+
+    def __setstate__(self, state: dict) -> None:
+        numbers = state["numbers"].split("\n") if state["numbers"] else []
+        self.__dict__ |= state | {"numbers": {term: i for i, term in enumerate(numbers)}}
+
+    def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], without: list[int] | None = None) -> list[tuple]:
+        """For each vector the nearest examples, their cosines with these terms alone, and the square of the terms' length."""
+        found = []
+        for at in range(0, len(vectors), BATCH):
+            squares = [float(weights @ weights) for _, weights in vectors[at : at + BATCH]]
+            queries = [(t, w / (math.sqrt(square) or 1.0)) for (t, w), square in zip(vectors[at : at + BATCH], squares)]
+            for i, (query, part) in enumerate(zip(queries, self.index.frequent(queries))):
+                near = self.index.nearest(*query, NEIGHBOURS, without[at + i] if without else -1, part)
+                found.append((*near, squares[i]))
+        return found
 
     def vote(self, labels: np.ndarray, cosines: np.ndarray) -> float:
         power = cosines**2
@@ -280,18 +347,19 @@ class Model:
 
     def score(self, text: str) -> tuple[float, list[int], list[float]]:
         """Score, doc_ids of the nearest examples, and their cosines; words not broadcast count as held by one document."""
-        if self.index is None:
+        if not self.packed:
             return self.share, [], []
         terms, weights, square, rest = self.vector(text)
         square += sum(((1 + math.log(n)) * math.log1p(self.n_docs)) ** 2 for _, n in rest)
-        examples, cosines, own = self.nearest(terms, weights)
+        examples, cosines, own = self.nearest([(terms, weights)])[0]
         cosines = np.minimum(np.round(cosines * math.sqrt(own / (square or 1.0)), 12), 1.0)
         return self.judged(self.index.labels[examples], cosines), self.index.keys[examples].tolist(), cosines.tolist()
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """A model of the labels given; the driver sees the sample's vectors and the frequent words."""
-    examples = stage(sample(docs, labels, key, text, label))
+    sparkContext = docs.sparkSession.sparkContext
+    examples = stage(sample(docs, labels, key, text, label).repartition(2 * sparkContext.defaultParallelism))
     known = labels.groupBy(key).agg(F.max(label).alias("_label")).filter("_label in (0, 1)")
     model = Model(float(known.agg(F.avg("_label")).first()[0] or 0.0))
     leaning = leaning_terms(examples)
@@ -299,58 +367,52 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return model
     model.frequencies = stage(document_frequencies(docs, leaning, text))
     words = document_frequencies(examples, leaning, "_text").select("term")
-    indexed = model.frequencies.join(words, "term").toArrow()
+    indexed = model.frequencies.join(words, "term").toArrow().sort_by([("c", "descending")])
     model.known_terms(leaning, docs.count(), indexed, hottest(model.frequencies, "term", "c", "c"))
-    sparkContext, frequencies = docs.sparkSession.sparkContext, model.frequencies
-    model.frequencies = None  # no part of what workers read
     shared = sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches, "_text"):
-            made = [shared.value.vector(t)[:2] for t in texts]
-            lists = [pa.array([v[0] for v in made], pa.list_(pa.int32())), pa.array([v[1] for v in made], pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("_key", "_label", "_hash")), *lists], names=["k", "l", "h", "t", "w"])
-
-    schema = "k long, l int, h long, t array<int>, w array<double>"
-    plain = examples.select(F.col("_key").cast("long"), F.col("_label").cast("int"), "_hash", "_text")
-    rows = plain.mapInArrow(run, schema).toArrow().combine_chunks()
+            made = [shared.value.counts(t) for t in texts]
+            lists = [pa.array([v[i] for v in made], pa.list_(pa.int32())) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("_key", "_label", "_hash")), *lists], names=list("klhtn"))
+
+    schema = "k long, l long, h long, t array<int>, n array<int>"
+    plain = examples.select(F.col("_key").cast("long"), F.col("_label").cast("long"), "_hash", "_text")
+    rows = plain.mapInArrow(run, schema).toArrow()
+    shared.destroy()
+    # examples of the same rarest term stand together, which keeps the blocks' maxima apart
+    leading = pa.array([max(t, key=lambda i: (model.idf[i], i), default=-1) for c in rows.column("t").chunks for t in map(pa.ListScalar.as_py, c)])
+    order = np.lexsort((rows.column("h").to_numpy(), rows.column("k").to_numpy(), leading.to_numpy()))
+    rows = rows.take(pa.array(order)).combine_chunks()
+    terms, times = (pa.concat_arrays(rows.column(c).chunks) for c in "tn")
+    spans = terms.offsets.to_numpy()
     keys, kinds, hashes = (rows.column(c).to_numpy() for c in "klh")
-    terms, weights = (pa.concat_arrays(rows.column(c).chunks) for c in "tw")
-    spans, terms, weights = terms.offsets.to_numpy(), terms.values.to_numpy(), weights.values.to_numpy()
-    vectors = [(terms[a:b].astype(np.int64), weights[a:b]) for a, b in zip(spans[:-1], spans[1:])]
-    vectors = [(t, w / (np.linalg.norm(w) or 1.0)) for t, w in vectors]
-    # examples of the same leading term stand together, which keeps the blocks' maxima apart
-    leading = np.array([t[np.argmax(w)] if len(t) else -1 for t, w in vectors])
-    order = np.lexsort((hashes, keys, leading))
-    model.index = BlockMaxIndex(keys[order], kinds[order].astype(np.int64), [vectors[i] for i in order], model.n_terms)
-    places = {h: i for i, h in enumerate(hashes[order].tolist())}
+    model.pack(keys, kinds, spans, terms.values.to_numpy(), times.values.to_numpy())
+    places = {h: i for i, h in enumerate(hashes.tolist())}
     fitted = sparkContext.broadcast(model)
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each example's vote by all others."""
         own = fitted.value
         for batch, texts in text_batches(batches, "_text"):
-            at, made = [places[h] for h in batch.column("_hash").to_pylist()], []
-            for t, place in zip(texts, at):
-                found, cosines, _ = own.nearest(*own.vector(t)[:2], place)
-                made.append(own.vote(own.index.labels[found], cosines))
+            at = [places[h] for h in batch.column("_hash").to_pylist()]
+            near = own.nearest([own.vector(t)[:2] for t in texts], at)
+            made = [own.vote(own.index.labels[found], cosines) for found, cosines, _ in near]
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(made, pa.float64())], names=["i", "vote"])
 
-    spread = plain.repartition(sparkContext.defaultParallelism * 2)
-    found = spread.mapInArrow(votes, "i long, vote double").toArrow()
-    model.calibrate(model.index.labels[found.column("i").to_numpy()], found.column("vote").to_numpy())
-    model.frequencies = frequencies
+    found = plain.mapInArrow(votes, "i long, vote double").toArrow()
+    fitted.destroy()
+    model.calibrate(kinds[found.column("i").to_numpy()], found.column("vote").to_numpy())
     return model
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """score, predicted, and as evidence the nearest examples' ids and cosines, in place of the text."""
-    frequencies, own = model.frequencies, copy(model)
-    own.frequencies = None  # no part of what workers read
-    shared = docs.sparkSession.sparkContext.broadcast(own)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     added = ["score", "predicted", "neighbours", "cosines"]
     kept = [f for f in docs.schema.fields if f.name not in (text, *added)]
-    if frequencies is None:
+    if model.frequencies is None:
         nothing = [F.lit(model.share), F.lit(int(model.share >= 0.5)), F.array().cast("array<long>"), F.array().cast("array<double>")]
         return docs.select(*(f.name for f in kept), *(c.alias(name) for c, name in zip(nothing, added)))
     entry = T.StructType([T.StructField("item", T.StringType()), T.StructField("n", T.LongType())])
@@ -364,14 +426,12 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, pairs = 0, pa.list_(pa.struct([("item", pa.string()), ("n", pa.int64())]))
         for batch, texts in text_batches(batches, text):
-            found, squares, rests = [], [], []
-            for t in texts:
-                terms, weights, square, rest = shared.value.vector(t)
-                found.append(shared.value.nearest(terms, weights)), squares.append(square)
-                rests.append([{"item": word, "n": n} for word, n in rest])
+            vectors = [shared.value.vector(t) for t in texts]
+            found = shared.value.nearest([v[:2] for v in vectors])
+            rests = [[{"item": word, "n": n} for word, n in v[3]] for v in vectors]
             made = [
                 pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float64())),
-                pa.array([f[2] for f in found], pa.float64()), pa.array(squares, pa.float64()),
+                pa.array([f[2] for f in found], pa.float64()), pa.array([v[2] for v in vectors], pa.float64()),
                 pa.array(row_keys(len(texts), first), pa.int64()), pa.array(rests, pairs),
             ]
             first += len(texts)
@@ -379,7 +439,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     rows = stage(docs.select(*(f.name for f in kept), text).mapInArrow(search, schema))
     idf = F.log1p(F.lit(float(model.n_docs)) / F.coalesce("c", F.lit(1)))
-    whole = add_rest(rows, frequencies, "term", {"__square": F.pow((1 + F.log(F.col("n"))) * idf, F.lit(2.0))})
+    whole = add_rest(rows, model.frequencies, "term", {"__square": F.pow((1 + F.log(F.col("n"))) * idf, F.lit(2.0))})
     types = [T.DoubleType(), T.IntegerType(), T.ArrayType(T.LongType()), T.ArrayType(T.DoubleType())]
     result = T.StructType([*kept, *map(T.StructField, added, types)])
 
