@@ -3,7 +3,7 @@
 Training counts words and word pairs on the executors and adds the counts up after a shuffle by hash. A count c becomes
 level 1 + floor(log2 c); the filter holds (n-gram, j) for each j up to the level. A count is read back by probing
 j = 1, 2, .. until one is missing: errors of the filter can only raise a count, by one level with the filter's small
-error rate. Pairs seen once are not stored. The probability of a word is mixed from its pair's and its own count:
+error rate. All pairs are stored, those seen once as level 1. The probability of a word is mixed from its pair's and its own count:
 
     p(w | v) = MIX * min(1, c(v w) / c(v)) + (1 - MIX) * (c(w) + 1) / (C + V + 1)      (MIX = 0 where v is unknown)
 
@@ -11,8 +11,8 @@ with C the sum of the words' counts as they are read back. Texts begin and end w
 
 The filter is cut into segments by the hash of the n-gram. The task that adds up a segment's n-grams also sets its bits,
 so counts pass one shuffle and no bit does. The number of segments follows the training tokens, which keeps a task's
-share the same at any size. The size of the whole filter follows them too, up to ``MAX_BITS`` (128 MB), which is what is
-collected and broadcast at most; beyond that the error rate rises.
+share the same at any size. A segment has ``ENTRY_BITS`` bits at least for each of its entries, so the error rate is
+the same at any size too, about one in a hundred at most.
 
 The base score needs exact counts: those of the most frequent words are a broadcast table of fixed size, all others are
 joined by word and summed per document.
@@ -39,7 +39,8 @@ from calloom.session import stage
 END = "\n"
 MIX = 0.5
 PROBES = 3
-MIN_BITS, MAX_BITS = 1 << 20, 1 << 30
+#: Bits of a segment for each (n-gram, level) in it, rounded up to a power of two, and the fewest.
+ENTRY_BITS, MIN_BITS = 12, 1 << 12
 #: Training tokens to a segment, about, and the most segments.
 SEGMENT_TOKENS, MAX_SEGMENTS = 1 << 19, 1 << 20
 #: Counts that a task gathers before it passes them on, and words that a worker keeps.
@@ -72,35 +73,41 @@ LEVEL_COUNT = np.array([0.0, 1.0, *(2.0 ** (q - 0.5) for q in range(2, 65))])
 class Filter:
     """The layout of the filter: a segment for the top bits of a key, ``PROBES`` bits in it for a key and level."""
 
-    def __init__(self, bits: int, segments: int):
-        self.size = bits // segments  # bits of a segment
+    def __init__(self, segments: int):
         self.shift = np.uint64(64 - (segments.bit_length() - 1))
         self.segments = segments
+        self.sizes = np.full(segments, 8, np.uint64)  # bits of each segment; one without n-grams has none set
 
     def segment(self, keys: np.ndarray) -> np.ndarray:
         if self.segments == 1:
             return np.zeros(len(keys), np.int64)
         return (keys >> self.shift).astype(np.int64)
 
-    def places(self, keys: np.ndarray, level: int, probe: int) -> np.ndarray:
-        """The bit's place within the segment."""
+    @staticmethod
+    def places(keys: np.ndarray, level: int, probe: int, size: np.ndarray | np.uint64) -> np.ndarray:
+        """The bit's place within a segment of that size."""
         mixed = _mix(keys + np.uint64(level * int(_C) & (1 << 64) - 1))
         step = (mixed >> np.uint64(32)) | np.uint64(1)
-        return ((mixed + np.uint64(probe) * step) & np.uint64(self.size - 1)).astype(np.int64)
+        return ((mixed + np.uint64(probe) * step) & (size - np.uint64(1))).astype(np.int64)
 
     def levels(self, bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """The level of each key, by probing until a level is missing. ``bits``: the filter as bytes."""
-        found = np.zeros(len(keys), np.int64)
-        alive = np.arange(len(keys))
-        offset = self.segment(keys) * self.size
-        for level in range(1, len(LEVEL_COUNT)):
-            for probe in range(PROBES):
-                place = offset[alive] + self.places(keys[alive], level, probe)
-                alive = alive[(bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1]
-            if not len(alive):
-                break
-            found[alive] = level
-        return found
+        """The level of each key. ``bits``: the filter as bytes."""
+        own = self.segment(keys)
+        return read_levels(bits, keys, self.sizes[own], (np.cumsum(self.sizes) - self.sizes).astype(np.int64)[own])
+
+
+def read_levels(bits: np.ndarray, keys: np.ndarray, sizes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The level of each key, by probing its segment, of that size and offset in bits, until a level is missing."""
+    found = np.zeros(len(keys), np.int64)
+    alive = np.arange(len(keys))
+    for level in range(1, len(LEVEL_COUNT)):
+        for probe in range(PROBES):
+            place = offsets[alive] + Filter.places(keys[alive], level, probe, sizes[alive])
+            alive = alive[(bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1]
+        if not len(alive):
+            break
+        found[alive] = level
+    return found
 
 
 class _Index(dict):
@@ -203,28 +210,25 @@ def _words(vocabulary: DataFrame, layout: Filter) -> DataFrame:
     return vocabulary.repartition(vocabulary.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, PARTS)
 
 
-def _set_bits(layout: Filter):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        """One segment of the filter, from all counts of its n-grams."""
-        bits = np.zeros(layout.size, np.uint8)
-        for order, rows in group.groupby("n"):
-            keys = np.concatenate([np.frombuffer(k, np.uint64) for k in rows["keys"]])
-            counts = np.concatenate([np.frombuffer(c, np.uint32) for c in rows["counts"]]).astype(np.int64)
-            sort = np.argsort(keys, kind="stable")
-            keys, counts = keys[sort], counts[sort]
-            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            keys, counts = keys[starts], np.add.reduceat(counts, starts)
-            if order == 2:
-                keys, counts = keys[counts > 1], counts[counts > 1]
-            levels = level_of(counts)
-            for level in range(1, int(levels.max(initial=0)) + 1):
-                keys, levels = keys[levels >= level], levels[levels >= level]
-                for probe in range(PROBES):
-                    bits[layout.places(keys, level, probe)] = 1
-        packed = np.packbits(bits, bitorder="little").tobytes()
-        return pd.DataFrame({"segment": [int(group["segment"].iloc[0])], "bits": [packed]})
-
-    return run
+def _set_bits(group: pd.DataFrame) -> pd.DataFrame:
+    """One segment of the filter, from all counts of its n-grams."""
+    entries = []
+    for _, rows in group.groupby("n"):
+        keys = np.concatenate([np.frombuffer(k, np.uint64) for k in rows["keys"]])
+        counts = np.concatenate([np.frombuffer(c, np.uint32) for c in rows["counts"]]).astype(np.int64)
+        sort = np.argsort(keys, kind="stable")
+        keys, counts = keys[sort], counts[sort]
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        entries.append((keys[starts], level_of(np.add.reduceat(counts, starts))))
+    size = np.uint64(max(_power_of_two(ENTRY_BITS * sum(int(levels.sum()) for _, levels in entries)), MIN_BITS))
+    bits = np.zeros(int(size), np.uint8)
+    for keys, levels in entries:
+        for level in range(1, int(levels.max(initial=0)) + 1):
+            keys, levels = keys[levels >= level], levels[levels >= level]
+            for probe in range(PROBES):
+                bits[Filter.places(keys, level, probe, size)] = 1
+    packed = np.packbits(bits, bitorder="little").tobytes()
+    return pd.DataFrame({"segment": [int(group["segment"].iloc[0])], "bits": [packed]})
 
 
 def _power_of_two(x: float) -> int:
@@ -241,14 +245,14 @@ class Model:
         self.tokens, self.distinct, self.read_back = totals[0] or 0, totals[1], totals[2] or 0.0
         if not docs.take(1):  # the end mark of no text
             self.tokens = self.distinct = 0
-        bits = min(max(_power_of_two(2 * self.tokens), MIN_BITS), MAX_BITS)
-        self.layout = Filter(bits, min(_power_of_two(self.tokens / SEGMENT_TOKENS), MAX_SEGMENTS))
+        self.layout = Filter(min(_power_of_two(self.tokens / SEGMENT_TOKENS), MAX_SEGMENTS))
         parts = _pairs(docs, text, self.layout).union(_words(self.vocabulary.filter("c > 0"), self.layout))
-        segments = parts.groupBy("segment").applyInPandas(_set_bits(self.layout), "segment long, bits binary")
-        self.bits = np.zeros(bits // 8, np.uint8)
-        width = self.layout.size // 8
-        for row in segments.toPandas().itertuples():
-            self.bits[row.segment * width : (row.segment + 1) * width] = np.frombuffer(row.bits, np.uint8)
+        segments = parts.groupBy("segment").applyInPandas(_set_bits, "segment long, bits binary")
+        found = {row.segment: np.frombuffer(row.bits, np.uint8) for row in segments.toPandas().itertuples()}
+        for segment, own in found.items():
+            self.layout.sizes[segment] = 8 * len(own)
+        empty = np.zeros(1, np.uint8)
+        self.bits = np.concatenate([found.get(segment, empty) for segment in range(self.layout.segments)])
 
     def score(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """n_tokens, n_known, train_tokens, base_score and score in place of the text."""

@@ -174,6 +174,15 @@ def test_repeated_ids_do_not_widen_the_sample(docs, monkeypatch):
     langid.fit(docs.withColumn("doc_id", F.lit(1)))
 
 
+def test_pairs_seen_once_are_known(spark):
+    docs = spark.createDataFrame([(i, f"w{i} x{i}") for i in range(300)], "doc_id long, text string")
+    model = bloom_lm.Model(docs)
+    hashes = lambda mark: np.array([bloom_lm.xxhash.xxh64_intdigest(f"{mark}{i}") for i in range(300)], np.uint64)
+    seen = model.layout.levels(model.bits, bloom_lm.pair_keys(hashes("w"), hashes("x")))
+    unseen = model.layout.levels(model.bits, bloom_lm.pair_keys(hashes("x"), hashes("w")))
+    assert (seen >= 1).all() and (seen == 1).mean() > 0.95 and (unseen > 0).mean() < 0.05
+
+
 # --- toxicity ----------------------------------------------------------------------------------------------------------
 
 
