@@ -12,7 +12,9 @@ with C the sum of the words' counts as they are read back. Texts begin and end w
 The filter is cut into segments by the hash of the n-gram. The task that adds up a segment's n-grams also sets its bits,
 so counts pass one shuffle and no bit does. The number of segments follows the training tokens, which keeps a task's
 share the same at any size. A segment has ``ENTRY_BITS`` bits at least for each of its entries, so the error rate is
-the same at any size too, about one in a hundred at most.
+the same at any size too, about one in a hundred at most. A filter of up to ``BROADCAST_BYTES`` is collected and
+broadcast. A larger one stays in its segments: the distinct keys of each batch of texts go to the segments they probe,
+and their levels go back to the batch.
 
 The base score needs exact counts: those of the most frequent words are a broadcast table of fixed size, all others are
 joined by word and summed per document.
@@ -41,6 +43,8 @@ MIX = 0.5
 PROBES = 3
 #: Bits of a segment for each (n-gram, level) in it, rounded up to a power of two, and the fewest.
 ENTRY_BITS, MIN_BITS = 12, 1 << 12
+#: The largest filter that is collected and broadcast.
+BROADCAST_BYTES = 1 << 25
 #: Training tokens to a segment, about, and the most segments.
 SEGMENT_TOKENS, MAX_SEGMENTS = 1 << 19, 1 << 20
 #: Counts that a task gathers before it passes them on, and words that a worker keeps.
@@ -231,6 +235,19 @@ def _set_bits(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"segment": [int(group["segment"].iloc[0])], "bits": [packed]})
 
 
+def _by_part(parts: np.ndarray, texts: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """Each part of a batch, with the keys of the words and pairs in its texts."""
+    for part in np.unique(parts).tolist():
+        own = [texts[i] for i in np.flatnonzero(parts == part)]
+        yield part, np.concatenate([k for words in own for k in (word_keys(np.unique(words)), pair_keys(words[:-1], words[1:]))])
+
+
+def _chance(pairs: np.ndarray, before: np.ndarray, own: np.ndarray, total: float) -> np.ndarray:
+    """p(w | v) from the counts of v w, v and w."""
+    mix = np.where(before > 0, MIX, 0.0)
+    return mix * np.minimum(1, pairs / np.maximum(before, 1)) + (1 - mix) * (own + 1) / total
+
+
 def _power_of_two(x: float) -> int:
     return 1 << max(0, int(np.ceil(np.log2(max(x, 1)))))
 
@@ -247,17 +264,71 @@ class Model:
             self.tokens = self.distinct = 0
         self.layout = Filter(min(_power_of_two(self.tokens / SEGMENT_TOKENS), MAX_SEGMENTS))
         parts = _pairs(docs, text, self.layout).union(_words(self.vocabulary.filter("c > 0"), self.layout))
-        segments = parts.groupBy("segment").applyInPandas(_set_bits, "segment long, bits binary")
-        found = {row.segment: np.frombuffer(row.bits, np.uint8) for row in segments.toPandas().itertuples()}
-        for segment, own in found.items():
-            self.layout.sizes[segment] = 8 * len(own)
-        empty = np.zeros(1, np.uint8)
-        self.bits = np.concatenate([found.get(segment, empty) for segment in range(self.layout.segments)])
+        self.segments = stage(parts.groupBy("segment").applyInPandas(_set_bits, "segment long, bits binary"))
+        self.bits = None
+        if (self.segments.agg(F.sum(F.octet_length("bits").cast("long"))).first()[0] or 0) <= BROADCAST_BYTES:
+            found = {row.segment: np.frombuffer(row.bits, np.uint8) for row in self.segments.toPandas().itertuples()}
+            for segment, own in found.items():
+                self.layout.sizes[segment] = 8 * len(own)
+            empty = np.zeros(1, np.uint8)
+            self.bits = np.concatenate([found.get(segment, empty) for segment in range(self.layout.segments)])
+
+    def chances(self, sequences: DataFrame) -> DataFrame:
+        """(__key, __score) of texts given as (__part, __key, __words: their words' hashes), the filter left in its segments."""
+        layout, read_total = self.layout, self.read_back + self.distinct + 1
+
+        def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """The distinct keys of a part by segment; a part is one batch when it is written, but may come in several."""
+            for batch in batches:
+                texts = [np.frombuffer(w, np.uint64) for w in batch.column("__words").to_pylist()]
+                for part, keys in _by_part(batch.column("__part").to_numpy(), texts):
+                    keys = np.unique(keys)
+                    owner = layout.segment(keys)
+                    starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+                    spans = list(zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(owner[starts], pa.int64()), pa.array([part] * len(spans), pa.int64()),
+                            pa.array([keys[s:e].tobytes() for s, e in spans], pa.binary()),
+                        ],
+                        names=["segment", "part", "keys"],
+                    )
+
+        def read(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+            if not len(asked):
+                return pd.DataFrame({"part": [], "keys": [], "levels": []})
+            bits = np.frombuffer(held["bits"].iloc[0], np.uint8) if len(held) else np.zeros(1, np.uint8)
+            found = []
+            for raw in asked["keys"]:
+                keys = np.frombuffer(raw, np.uint64)
+                sizes = np.full(len(keys), 8 * len(bits), np.uint64)
+                found.append(read_levels(bits, keys, sizes, np.zeros(len(keys), np.int64)).astype(np.uint8).tobytes())
+            return pd.DataFrame({"part": asked["part"], "keys": asked["keys"], "levels": found})
+
+        def mixed(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+            keys = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(k, np.uint64) for k in found["keys"])])
+            levels = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(v, np.uint8) for v in found["levels"])])
+            order = np.argsort(keys, kind="stable")
+            keys, levels = keys[order], levels[order]
+            look = lambda asked: LEVEL_COUNT[levels[np.searchsorted(keys, asked)]]
+            scores = []
+            for raw in texts["__words"]:
+                words = np.frombuffer(raw, np.uint64)
+                counts = look(word_keys(words))
+                pairs = look(pair_keys(words[:-1], words[1:]))
+                scores.append(np.log10(_chance(pairs, counts[:-1], counts[1:], read_total)).sum())
+            return pd.DataFrame({"__key": texts["__key"], "__score": np.array(scores, np.float64)})
+
+        asked = sequences.mapInArrow(probes, "segment long, part long, keys binary")
+        levels = asked.groupBy("segment").cogroup(self.segments.groupBy("segment"))
+        levels = levels.applyInPandas(read, "part long, keys binary, levels binary")
+        return sequences.groupBy("__part").cogroup(levels.groupBy("part")).applyInPandas(mixed, "__key long, __score double")
 
     def score(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """n_tokens, n_known, train_tokens, base_score and score in place of the text."""
         sparkContext = docs.sparkSession.sparkContext
         hot = sparkContext.broadcast(dict(zip(*hottest(self.vocabulary.filter("c > 0"), "word", "c", "c"))))
+        joined = self.bits is None
         bits, layout = sparkContext.broadcast(self.bits), self.layout
         train_tokens = np.int64(self.tokens)
         exact_total, read_total = self.tokens + self.distinct + 1, self.read_back + self.distinct + 1
@@ -266,6 +337,8 @@ class Model:
         entry = T.StructType([T.StructField("item", T.StringType()), T.StructField("n", T.LongType())])
         types = [T.LongType(), T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType(), T.LongType(), T.ArrayType(entry)]
         schema = T.StructType([*kept, *map(T.StructField, [*added, "__key", "__rest"], types)])
+        if joined:
+            schema = schema.add("__part", T.LongType()).add("__words", T.BinaryType())
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = {word.encode(): c for word, c in hot.value.items()}
@@ -285,15 +358,17 @@ class Model:
                     new = np.array([known.get(w, -1) for w in names[len(counts) :]], np.float64)
                     counts = np.r_[counts, new]
                     logs = np.r_[logs, np.where(new >= 0, np.log10(np.maximum(new, 0) + 1) - np.log10(exact_total), 0.0)]
-                    read = np.r_[read, LEVEL_COUNT[layout.levels(bits.value, word_keys(hashes[len(read) :]))]]
+                    if not joined:
+                        read = np.r_[read, LEVEL_COUNT[layout.levels(bits.value, word_keys(hashes[len(read) :]))]]
                 sizes = np.array([len(numbers) + 1 for numbers in numbered], np.int64)
                 mark = np.array([end])
                 tokens = np.concatenate([part for numbers in numbered for part in (numbers, mark)])
                 before = np.concatenate([part for numbers in numbered for part in (mark, numbers)])
-                pairs = LEVEL_COUNT[layout.levels(bits.value, pair_keys(hashes[before], hashes[tokens]))]
-                context = read[before]
-                mix = np.where(context > 0, MIX, 0.0)
-                chance = mix * np.minimum(1, pairs / np.maximum(context, 1)) + (1 - mix) * (read[tokens] + 1) / read_total
+                if joined:
+                    chance = np.ones(len(tokens))  # its logarithm is added after the join
+                else:
+                    pairs = LEVEL_COUNT[layout.levels(bits.value, pair_keys(hashes[before], hashes[tokens]))]
+                    chance = _chance(pairs, read[before], read[tokens], read_total)
                 starts = np.r_[0, np.cumsum(sizes)[:-1]]
                 items, times, ends = [], [], [0]
                 names = list(index)
@@ -310,6 +385,9 @@ class Model:
                     pa.array(np.add.reduceat(np.log10(chance), starts)), pa.array(row_keys(len(texts), first), pa.int64()),
                     pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), entries),
                 ]
+                if joined:
+                    made.append(pa.array([row_keys(1, first)[0]] * len(texts), pa.int64()))
+                    made.append(pa.array([hashes[np.r_[mark, numbers, mark]].tobytes() for numbers in numbered], pa.binary()))
                 first += len(texts)
                 yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *made], names=schema.names)
 
@@ -319,6 +397,9 @@ class Model:
             "n_known": F.when(count > 0, F.col("n")).otherwise(F.lit(0)),
             "base_score": F.col("n") * (F.log10(count + 1.0) - F.log10(F.lit(float(exact_total)))),
         }
+        if joined:
+            scores = stage(self.chances(rows.select("__part", "__key", "__words")))
+            rows = rows.drop("__part", "__words").join(scores, "__key").withColumn("score", F.col("__score")).drop("__score")
         return add_rest(rows, self.vocabulary, "word", sums)
 
 

@@ -183,6 +183,25 @@ def test_pairs_seen_once_are_known(spark):
     assert (seen >= 1).all() and (seen == 1).mean() > 0.95 and (unseen > 0).mean() < 0.05
 
 
+def test_filter_left_in_segments_scores_the_same(spark, docs, hard, none, monkeypatch):
+    """A filter too large for a broadcast is probed by joins; the results are those of the broadcast one."""
+    training = common.crc_bucket(F.col("doc_id"), 7) != 2
+    monkeypatch.setattr(bloom_lm, "SEGMENT_TOKENS", 1 << 10)
+    columns = ["doc_id", "n_tokens", "n_known", "train_tokens"]
+    for given in (docs.select("doc_id", "text"), hard):
+        made = []
+        for limit in (1 << 25, 0):
+            monkeypatch.setattr(bloom_lm, "BROADCAST_BYTES", limit)
+            model = bloom_lm.Model(given.filter(training))
+            assert (model.bits is None) == (limit == 0)
+            rows = model.score(given).collect()
+            made.append(sorted(([str(row[c]) for c in columns], row.base_score, row.score) for row in rows))
+        assert [row[0] for row in made[0]] == [row[0] for row in made[1]]
+        for i in (1, 2):
+            assert np.allclose([row[i] for row in made[0]], [row[i] for row in made[1]], atol=1e-9)
+    assert bloom_lm.score(none, F.lit(True)).count() == 0
+
+
 # --- toxicity ----------------------------------------------------------------------------------------------------------
 
 
