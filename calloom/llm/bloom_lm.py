@@ -25,8 +25,9 @@ ids each give a row; a pair or word that fills a third of the corpus is counted
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -235,11 +236,27 @@ def _set_bits(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"segment": [int(group["segment"].iloc[0])], "bits": [packed]})
 
 
-def _by_part(parts: np.ndarray, texts: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
-    """Each part of a batch, with the keys of the words and pairs in its texts."""
-    for part in np.unique(parts).tolist():
-        own = [texts[i] for i in np.flatnonzero(parts == part)]
-        yield part, np.concatenate([k for words in own for k in (word_keys(np.unique(words)), pair_keys(words[:-1], words[1:]))])
+def _keys(texts: Iterable[np.ndarray]) -> np.ndarray:
+    """The distinct keys of the words and pairs in texts (their words' hashes), in order."""
+    texts = list(texts)
+    return np.unique(np.concatenate([word_keys(np.unique(np.concatenate(texts))), *(pair_keys(w[:-1], w[1:]) for w in texts)]))
+
+
+def _width(names: np.ndarray) -> type:
+    return np.uint16 if len(names) <= 1 << 16 else np.uint32
+
+
+def _pack(texts: list[np.ndarray]) -> tuple[list[bytes], list, list]:
+    """Texts as numbers of words; with the first text the words' hashes, and all keys that the texts probe."""
+    every = np.concatenate(texts)
+    names, numbers, times = np.unique(every, return_inverse=True, return_counts=True)
+    order = np.argsort(-times, kind="stable")  # small numbers for frequent words
+    rank = np.empty(len(order), _width(names))
+    rank[order] = np.arange(len(order))
+    ends = np.cumsum([len(words) for words in texts])
+    packed = [zlib.compress(part.tobytes(), 1) for part in np.split(rank[numbers], ends[:-1])]
+    rest = [None] * (len(texts) - 1)
+    return packed, [names[order].tobytes(), *rest], [_keys(texts).tobytes(), *rest]
 
 
 def _chance(pairs: np.ndarray, before: np.ndarray, own: np.ndarray, total: float) -> np.ndarray:
@@ -273,16 +290,15 @@ class Model:
             empty = np.zeros(1, np.uint8)
             self.bits = np.concatenate([found.get(segment, empty) for segment in range(self.layout.segments)])
 
-    def chances(self, sequences: DataFrame) -> DataFrame:
-        """(__key, __score) of texts given as (__part, __key, __words: their words' hashes), the filter left in its segments."""
+    def chances(self, parts: DataFrame) -> DataFrame:
+        """(__key, __score) of texts given as _pack() leaves them, the filter left in its segments."""
         layout, read_total = self.layout, self.read_back + self.distinct + 1
 
         def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            """The distinct keys of a part by segment; a part is one batch when it is written, but may come in several."""
+            """The keys of a part by segment."""
             for batch in batches:
-                texts = [np.frombuffer(w, np.uint64) for w in batch.column("__words").to_pylist()]
-                for part, keys in _by_part(batch.column("__part").to_numpy(), texts):
-                    keys = np.unique(keys)
+                for part, raw in zip(batch.column("__part").to_pylist(), batch.column("__keys").to_pylist()):
+                    keys = np.frombuffer(raw, np.uint64)
                     owner = layout.segment(keys)
                     starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
                     spans = list(zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]))
@@ -296,33 +312,34 @@ class Model:
 
         def read(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
             if not len(asked):
-                return pd.DataFrame({"part": [], "keys": [], "levels": []})
+                return pd.DataFrame({"part": [], "segment": [], "levels": []})
             bits = np.frombuffer(held["bits"].iloc[0], np.uint8) if len(held) else np.zeros(1, np.uint8)
             found = []
             for raw in asked["keys"]:
                 keys = np.frombuffer(raw, np.uint64)
                 sizes = np.full(len(keys), 8 * len(bits), np.uint64)
                 found.append(read_levels(bits, keys, sizes, np.zeros(len(keys), np.int64)).astype(np.uint8).tobytes())
-            return pd.DataFrame({"part": asked["part"], "keys": asked["keys"], "levels": found})
+            return pd.DataFrame({"part": asked["part"], "segment": asked["segment"], "levels": found})
 
         def mixed(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-            keys = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(k, np.uint64) for k in found["keys"])])
-            levels = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(v, np.uint8) for v in found["levels"])])
-            order = np.argsort(keys, kind="stable")
-            keys, levels = keys[order], levels[order]
+            names = np.frombuffer(next(d for d in texts["__names"] if d is not None), np.uint64)
+            texts["__words"] = [names[np.frombuffer(zlib.decompress(w), _width(names))] for w in texts["__words"]]
+            # segments are the keys' top bits, so in their order the levels are those of the sorted keys
+            levels = np.concatenate([np.frombuffer(v, np.uint8) for v in found.sort_values("segment")["levels"]])
+            keys = _keys(texts["__words"])
             look = lambda asked: LEVEL_COUNT[levels[np.searchsorted(keys, asked)]]
             scores = []
-            for raw in texts["__words"]:
-                words = np.frombuffer(raw, np.uint64)
-                counts = look(word_keys(words))
-                pairs = look(pair_keys(words[:-1], words[1:]))
+            for words in texts["__words"]:
+                counts, pairs = look(word_keys(words)), look(pair_keys(words[:-1], words[1:]))
                 scores.append(np.log10(_chance(pairs, counts[:-1], counts[1:], read_total)).sum())
             return pd.DataFrame({"__key": texts["__key"], "__score": np.array(scores, np.float64)})
 
-        asked = sequences.mapInArrow(probes, "segment long, part long, keys binary")
+        asked = parts.filter("__keys is not null").select("__part", "__keys")
+        asked = asked.mapInArrow(probes, "segment long, part long, keys binary")
         levels = asked.groupBy("segment").cogroup(self.segments.groupBy("segment"))
-        levels = levels.applyInPandas(read, "part long, keys binary, levels binary")
-        return sequences.groupBy("__part").cogroup(levels.groupBy("part")).applyInPandas(mixed, "__key long, __score double")
+        levels = levels.applyInPandas(read, "part long, segment long, levels binary")
+        texts = parts.select("__part", "__key", "__words", "__names").groupBy("__part")
+        return texts.cogroup(levels.groupBy("part")).applyInPandas(mixed, "__key long, __score double")
 
     def score(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """n_tokens, n_known, train_tokens, base_score and score in place of the text."""
@@ -338,7 +355,8 @@ class Model:
         types = [T.LongType(), T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType(), T.LongType(), T.ArrayType(entry)]
         schema = T.StructType([*kept, *map(T.StructField, [*added, "__key", "__rest"], types)])
         if joined:
-            schema = schema.add("__part", T.LongType()).add("__words", T.BinaryType())
+            packed = ["__words", "__names", "__keys"]
+            schema = T.StructType([*schema, T.StructField("__part", T.LongType()), *(T.StructField(c, T.BinaryType()) for c in packed)])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = {word.encode(): c for word, c in hot.value.items()}
@@ -387,7 +405,7 @@ class Model:
                 ]
                 if joined:
                     made.append(pa.array([row_keys(1, first)[0]] * len(texts), pa.int64()))
-                    made.append(pa.array([hashes[np.r_[mark, numbers, mark]].tobytes() for numbers in numbered], pa.binary()))
+                    made += [pa.array(c, pa.binary()) for c in _pack([hashes[np.r_[mark, numbers, mark]] for numbers in numbered])]
                 first += len(texts)
                 yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *made], names=schema.names)
 
@@ -398,8 +416,8 @@ class Model:
             "base_score": F.col("n") * (F.log10(count + 1.0) - F.log10(F.lit(float(exact_total)))),
         }
         if joined:
-            scores = stage(self.chances(rows.select("__part", "__key", "__words")))
-            rows = rows.drop("__part", "__words").join(scores, "__key").withColumn("score", F.col("__score")).drop("__score")
+            scores = stage(self.chances(rows.select("__key", "__part", *packed)))
+            rows = rows.drop("__part", *packed).join(scores, "__key").withColumn("score", F.col("__score")).drop("__score")
         return add_rest(rows, self.vocabulary, "word", sums)
 
 
