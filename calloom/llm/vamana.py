@@ -159,7 +159,7 @@ def build_index(rows: DataFrame, copies: int, shard_rows: int = SHARD_ROWS) -> D
     nodes = few.groupBy("_deal", "vector").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     nodes = stage(nodes.withColumn("dim", F.size("vector")))
     shards = nodes.groupBy("dim").agg(F.ceil(F.count("*") / shard_rows).alias("shards"))
-    dealt = nodes.join(F.broadcast(shards.limit(1 << 12)), "dim").withColumn("shard", F.pmod("_deal", "shards").cast("int"))
+    dealt = nodes.join(shards, "dim").withColumn("shard", F.pmod("_deal", "shards").cast("int"))
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("_deal", kind="stable")
@@ -175,14 +175,14 @@ def build_index(rows: DataFrame, copies: int, shard_rows: int = SHARD_ROWS) -> D
 def search(index: DataFrame, queries: DataFrame, k: int, block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query (id, vector), over all shards."""
     queries = queries.withColumn("dim", F.size("vector"))
-    count = F.broadcast(queries.groupBy("dim").agg(F.ceil(F.count("*") / block).alias("_blocks")).limit(1 << 12))
+    count = queries.groupBy("dim").agg(F.ceil(F.count("*") / block).alias("_blocks"))
     blocks = (
         queries.join(count, "dim").withColumn("_block", F.pmod(F.xxhash64("id"), "_blocks"))
         .groupBy("dim", "_block")
         .agg(F.collect_list(F.struct("id", F.col("vector").cast("array<double>").alias("vector"))).alias("queries"))
     )
     shards = index.groupBy("dim").agg(F.max("shard").alias("_last"))
-    blocks = blocks.join(F.broadcast(shards.limit(1 << 12)), "dim")
+    blocks = blocks.join(shards, "dim")
     blocks = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), "_last"))).select("dim", "shard", "queries")
     met = index.join(blocks, ["dim", "shard"]).select("graph", "queries")
 

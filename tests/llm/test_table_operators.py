@@ -278,3 +278,11 @@ def test_native_plans_have_no_python(spark):
     for name in ("op3_line_quality", "op9_mixing"):
         plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_every_vector_length_is_indexed_and_searched(spark):
+    rows = spark.range(1, 4200).select("id", F.expr("array_repeat(1.0D, int(id))").alias("vector"))
+    assert vamana.build_index(rows, 1).count() == 4199
+    pairs = spark.range(80).select("id", F.expr("array_repeat(1.0D + id % 2, int(id / 2) + 1)").alias("vector"))
+    found = vamana.search(vamana.build_index(pairs, 2), pairs, 1).collect()
+    assert sorted((row.query_id, row.vec_id) for row in found) == [(i, i ^ 1) for i in range(80)]
