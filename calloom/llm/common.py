@@ -31,8 +31,16 @@ def text_batches(batches: Iterator, column: str = "text") -> Iterator[tuple]:
 HOT, HOT_LENGTH = 1 << 17, 64
 
 
-def hottest(table: DataFrame, item: str, total: str, *values: str) -> list:
-    """Columns (item, values) of the most frequent short items, ``HOT`` at most.
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def hottest(table: DataFrame, item: str, total: str, *values: str | Column, limit: int = HOT) -> list:
+    """Columns (item, values) of the most frequent short items, ``limit`` at most.
 
     A histogram of totals, some hundred rows, gives the total from which on there are no more than that.
     """
@@ -41,11 +49,11 @@ def hottest(table: DataFrame, item: str, total: str, *values: str) -> list:
     least, count = None, 0
     for row in short.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
         count += row["count"]
-        if count > HOT:
+        if count > limit:
             break
         least = row["step"]
     rows = short.filter(step >= least if least is not None else F.lit(False)).select(item, *values).toPandas()
-    return [rows[name].tolist() for name in (item, *values)]
+    return [rows[name].tolist() for name in rows.columns]
 
 
 def first_of_each(df: DataFrame, group: str, order: list[str], n: int) -> DataFrame:

@@ -8,7 +8,10 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from calloom.llm import bloom_lm, bpe_automaton, langid, line_quality, mixing, simhash, token_counts, toxicity, vamana, warc_zip
+from calloom.llm import (
+    bloom_lm, bpe_automaton, byte_bpe, hard_negatives, langid, line_quality, mixing, simhash, source_divergence, token_counts,
+    toxicity, vamana, warc_zip,
+)
 from calloom.llm.common import crc_bucket
 from calloom.session import stage, tune
 
@@ -103,6 +106,31 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = byte_bpe.decode(byte_bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text"), path)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(_table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = _table(spark, sf_dir, "embeddings").filter(finite).select(
+        F.col("vec_id").alias("id"),
+        F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("vector"),
+    )
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
 QUERIES = {
     "op1_warc_zip": op1_warc_zip,
     "op2_toxicity": op2_toxicity,
@@ -114,9 +142,14 @@ QUERIES = {
     "op8_bloom_lm": op8_bloom_lm,
     "op9_mixing": op9_mixing,
     "op10_token_counts": op10_token_counts,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES = {
+    "op12_source_divergence": source_divergence.oracle_sql(),
+    "op13_hard_negatives": hard_negatives.oracle_sql(),
     "op3_line_quality": line_quality.oracle_sql(),
     "op9_mixing": mixing.oracle_sql(),
     "op1_warc_zip": """
