@@ -1,13 +1,17 @@
 """Ordered per-key values (row numbers, neighbours, running maxima) that stay parallel for hot keys.
 
-A window ``partitionBy(key).orderBy(..)`` sorts a whole key in one task. Here a key is cut into slices
-by expressions that do not decrease along the row order, e.g. the hour of the ordering timestamp:
+A window ``partitionBy(key).orderBy(..)`` sorts a whole key in one task. Here a key is cut into slices along
+the row order, and one exchange by (key, slice) serves both halves of a prefix scan:
 
 1. rows are numbered and carried inside (key, slice);
 2. one summary row per (key, slice) holds its size and its edge rows, and a window over these few
    summaries gives what enters a slice from the slices before and after it;
 3. the summaries are joined back on (key, slice), the partitioning the rows already have.
 
+Slices are either expressions that do not decrease along the order, e.g. the hour of the ordering timestamp, or a
+table of boundaries taken from the data (``boundaries``), which bounds slices whatever the values are: a key with all
+rows at one moment, or with ids far apart, is cut like any other.
+
 The result equals the plain window. The order must be total, else row numbers are arbitrary as in any
 engine. Nulls sort first.
 """
@@ -16,12 +20,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from calloom.functions.calendar import hour_number
 from calloom.operators.keyed import Key
+from calloom.session import stage
 
 ID_SLICE = 1_000_000
+#: Rows of a slice, about, where boundaries are taken from the data, and sampled rows for each.
+SLICE_ROWS, SAMPLED = 1_000_000, 4
 
 
 def hours(ts: str) -> Column:
@@ -34,13 +43,45 @@ def id_range(id_: str, width: int = ID_SLICE) -> Column:
     return F.floor(F.col(id_) / width)
 
 
+def boundaries(df: DataFrame, by: Sequence[str], order: Sequence[str], rows: int = SLICE_ROWS) -> DataFrame:
+    """Slice boundaries of heavy keys, for ``ordered(slices=..)`` on the same rows, key and order.
+
+    One in ``rows / SAMPLED`` rows is sampled by a hash of its order, read from the columns of key and order alone; every
+    ``SAMPLED``-th sampled row of a key is a boundary. So a slice has about ``rows`` rows, keys with far fewer are not in
+    the table, and the table is a millionth of the rows. It is written at once, as its measured size decides how it is joined.
+    """
+    key, place = Key(df, by), F.struct(*order)
+    rare = F.pmod(F.xxhash64(*order), F.lit(max(1, rows // SAMPLED))) == 0
+    sample = key.on(df).filter(rare).groupBy(*key.names).agg(F.sort_array(F.collect_list(place)).alias("__cuts"))
+    every = F.filter("__cuts", lambda _, n: n % SAMPLED == SAMPLED - 1)
+    return stage(sample.withColumn("__cuts", every).filter(F.size("__cuts") > 0))
+
+
+def sliced(df: DataFrame, by: Sequence[str], order: Sequence[str], cuts: DataFrame, name: str) -> DataFrame:
+    """Add the number of a row's slice: how many boundaries of its key lie at or before it."""
+    key, place = Key(df, by), F.struct(*order)
+    number = F.coalesce(F.size(F.filter("__cuts", lambda cut: cut <= F.col("__place"))), F.lit(0))
+    rows = key.on(df).withColumn("__place", place).join(cuts, key.names, "left")
+    return rows.select(*df.columns, number.alias(name))
+
+
+def _shared(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows dealt by ``names``, twice, from one exchange.
+
+    Spark reuses an exchange only where both uses need the same columns. A metric over all columns above it keeps either
+    use from dropping some.
+    """
+    dealt = df.repartition(*names)
+    every = F.max(F.hash(*df.columns)).alias("rows")
+    return dealt.observe(f"rows {uuid4().hex}", every), dealt.observe(f"cells {uuid4().hex}", every)
+
+
 def ordered(
     df: DataFrame,
     by: Sequence[str],
     order: Sequence[str],
-    slices: Sequence[Column],
+    slices: Sequence[Column] | DataFrame,
     *,
-    source: DataFrame | None = None,
     row_number: str | None = None,
     row_number_desc: str | None = None,
     total: str | None = None,
@@ -54,20 +95,23 @@ def ordered(
 ) -> DataFrame:
     """Add ordered values per key.
 
-    ``slices`` cut a key: they must not decrease along ``order`` (lexicographically). ``lag``, ``lead``,
-    ``running_max``, ``running_sum``, ``coming_min``, ``key_sum`` and ``key_max`` (over the whole key) map
-    a new column to its source column; running values include the row, and so does the minimum of the coming rows. ``source`` is an earlier form of the same
-    rows from which the summaries can be taken (see ``calloom.operators.keyed.attach``).
+    ``slices`` cut a key: expressions that do not decrease along ``order`` (lexicographically), or a table from
+    ``boundaries``. ``lag``, ``lead``, ``running_max``, ``running_sum``, ``coming_min``, ``key_sum`` and ``key_max`` (over
+    the whole key) map a new column to its source column; running values include the row, and so does the minimum of the
+    coming rows.
     """
     lag, lead, running_max = dict(lag or {}), dict(lead or {}), dict(running_max or {})
     running_sum, key_sum, key_max = dict(running_sum or {}), dict(key_sum or {}), dict(key_max or {})
     coming_min = dict(coming_min or {})
     numbered = bool(row_number or row_number_desc or lag or lead)
 
-    base = df if source is None else source
-    key, cut = Key(base, by), Key(base, slices, "__s")
+    columns = df.columns
+    if isinstance(slices, DataFrame):
+        df = sliced(df, by, order, slices, "__slice")
+        slices = [F.col("__slice")]
+    key, cut = Key(df, by), Key(df, slices, "__s")
     names = [*key.names, *cut.names]
-    rows = cut.on(key.on(df))
+    rows, cell_rows = _shared(cut.on(key.on(df)), names)
     row = Window.partitionBy(*names).orderBy(*order)
     upto = row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
@@ -85,7 +129,7 @@ def ordered(
     whole = Window.partitionBy(*key.names)
     by_slice = whole.orderBy(*cut.ascending)
     before = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-    cells = cut.on(key.on(base)).groupBy(*names).agg(*summary)
+    cells = cell_rows.groupBy(*names).agg(*summary)
     incoming = {
         "__n": F.col("n"),
         "__skip": F.coalesce(F.sum("n").over(before), F.lit(0)),
@@ -146,5 +190,5 @@ def ordered(
         new[name] = F.coalesce(before_sum + here, before_sum, here)
     for name in [*key_sum, *key_max]:
         new[name] = F.col(f"__key_{name}")
-    kept = [c for c in df.columns if c not in new]
+    kept = [c for c in columns if c not in new]
     return rows.select(*kept, *[c.alias(name) for name, c in new.items()])

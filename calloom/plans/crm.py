@@ -61,7 +61,7 @@ def crm_events(tables: Tables) -> DataFrame:
     by, sent = ["user_email", "email_type"], F.col("email_event_rank") == 1
     rows = cohort_date(rows, by, sent, "activity_date", source=base_rows)
     rows = rerun_cohort_date(rows, by, sent, "activity_date", order, source=base_rows)
-    rows = sequence_events(rows, ["user_email"], order, [F.col(c) for c in order[:3]], source=base_rows)
+    rows = sequence_events(rows, ["user_email"], order, [F.col(c) for c in order[:3]])
     return rows.select(
         "activity_date", "cohort_date", "cohort_date_alt", "crm_category", "event_type", "email_type_rank",
         "email_type", "email_type_concat", "email_event_rank", "email_event", "email_event_concat", "user_email",
@@ -93,7 +93,7 @@ def crm_report(tables: Tables, events: DataFrame) -> DataFrame:
         rows,
         {"oht": mail.isin(*v.TEST_MAILS) | (type_ == v.RETARGET_CAMPAIGN),
          "appointment": type_.isin(*v.APPOINTMENT_CAMPAIGNS)},
-        ["user_email"], "activity_date", ["user_event_rank_asc"], slices, next_date="next_email_event_date", source=mails,
+        ["user_email"], "activity_date", ["user_event_rank_asc"], slices, next_date="next_email_event_date",
     )
 
     # a lead known under several e-mails counts once per date: the e-mail is not reported

@@ -268,8 +268,8 @@ from orders
 def _(t):
     rows = t.orders.withColumn("done", F.col("o_orderstatus") == "F")
     order, slices = ["o_orderdate", "o_orderkey"], [F.trunc("o_orderdate", "year")]
-    numbered = ordered(rows, ["o_custkey"], order, slices, row_number="nth", source=rows)
-    numbered = ordered(numbered, ["o_custkey", "done"], order, slices, row_number="n", row_number_desc="m", source=rows)
+    numbered = ordered(rows, ["o_custkey"], order, slices, row_number="nth")
+    numbered = ordered(numbered, ["o_custkey", "done"], order, slices, row_number="n", row_number_desc="m")
     return numbered.select(
         "o_orderkey", "nth", F.when(F.col("done"), F.col("n")).alias("nth_finished"),
         text.flag(F.col("done") & (F.col("m") == 1)).alias("last_finished"))

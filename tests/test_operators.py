@@ -8,7 +8,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
 from calloom.operators import attribution as att, cohorts as coh, forecast as fc, keyed, marketing as mk, snapshots as snap
-from calloom.operators.ordered import ordered
+from calloom.operators.ordered import boundaries, ordered, sliced
 from calloom.operators.spine import densify, each_class, half_month_spine, horizon
 
 row = st.tuples(st.sampled_from(["a", "a", "a", "b", None]), st.one_of(st.none(), st.integers(0, 40)),
@@ -86,6 +86,64 @@ def test_hot_key_stays_whole(spark):
     assert got.filter("p >= x").isEmpty()
 
 
+@pytest.mark.parametrize("place", ["at one moment", "far apart", "with nulls"])
+def test_boundaries_cut_a_heavy_key_whatever_its_values(spark, place):
+    """Rows of one key at one moment, with ids far apart, or without a time: slices stay small, numbers stay those of a window."""
+    when = {"at one moment": F.lit("2021-01-01 10:00"), "far apart": F.lit("2021-01-01 10:00"), "with nulls": F.lit(None)}[place]
+    id_ = F.col("id") * 1_000_003_000_007 if place == "far apart" else F.col("id")
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 100 == 0, F.col("id")).when(F.col("id") % 100 > 2, F.lit(-1)).alias("k"),
+        when.cast("timestamp_ntz").alias("ts"), id_.alias("id"), (F.col("id") % 17).alias("v")).repartition(4)
+    cuts = boundaries(df, ["k"], ["ts", "id"], rows=2000)
+    sizes = sliced(df, ["k"], ["ts", "id"], cuts, "slice").groupBy("k", "slice").count()
+    assert sizes.agg(F.max("count")).first()[0] < 8000 and sizes.filter("k = -1").count() > 4
+    assert cuts.count() <= 2  # the heavy key, and perhaps the null key with its 600 rows
+    got = ordered(df, ["k"], ["ts", "id"], cuts, row_number="n", lag={"p": "v"}, running_sum={"s": "v"}, coming_min={"c": "id"})
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    want = df.select("*", F.row_number().over(w).alias("n"), F.lag("v").over(w).alias("p"), F.sum("v").over(w).alias("s"),
+                     F.col("id").alias("c"))
+    assert sorted(got.columns) == sorted(want.columns)
+    got = got.select(*want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_interval_conversions_equal_every_day_against_every_start(spark):
+    rng, first = random.Random(4), dt.date(2020, 1, 1)
+
+    def on(n):
+        return first + dt.timedelta(days=n)
+
+    base = []
+    for key in ["a", "b", "c", None]:
+        starts = sorted(rng.sample(range(300), 6))
+        # the last row is open; one start ends before the next begins, one is shared by two rows
+        ends = [on(starts[1] - 1), *map(on, starts[2:]), None]
+        base += [(key, f"{key}{i}", on(s), e) for i, (s, e) in enumerate(zip(starts, ends))]
+        base.append((key, f"{key}x", on(starts[2]), on(starts[3])))
+    facts = [(rng.choice(["a", "b", "z", None]), on(rng.randrange(-20, 320)), rng.randrange(9)) for _ in range(400)] + [("a", None, 1)]
+    rows = att.interval_conversions(
+        spark.createDataFrame(base, "k string, id string, s date, e date"), spark.createDataFrame(facts, "k string, d date, v int"),
+        "k", "s", "e", "d", flag="any", maxima={"most": "v"}, sums={"all": "v"})
+    want = []
+    for key, id_, s, e in base:
+        met = [v for k, d, v in facts if k is not None and k == key and d is not None and d >= s and (e is None or d < e)]
+        want.append((key, id_, s, e, int(bool(met)), max(met, default=None), sum(met) if met else None))
+    assert values(rows, "k", "id", "s", "e", "any", "most", "all") == sorted(want, key=repr)
+
+
+def test_a_key_of_many_days_and_starts_is_linear(spark):
+    """100,000 days and 1,000 starts of one key: no pair of day and start is formed but those that hold."""
+    days = spark.range(100_000).select(F.lit("a").alias("k"), F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    step = F.date_add(F.lit("1900-01-01").cast("date"), (F.col("id") * 100).cast("int"))
+    base = spark.range(1000).select(F.lit("a").alias("k"), step.alias("s"),
+                                    F.when(F.col("id") < 999, F.date_add(step, 100)).alias("e"))
+    rows = att.interval_conversions(base, days.withColumn("v", F.lit(1)), "k", "s", "e", "d", sums={"n": "v"})
+    text = rows._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in text.splitlines() if "Join" in line]
+    assert joins and not any(sign in line for line in joins for sign in ("<", ">"))
+    assert {tuple(r) for r in rows.groupBy("n").count().collect()} == {(100, 1000)}
+
+
 def test_explode_period_conserves_the_amount(table):
     df = table("id int, a date, b date, h double", [1, "2021-01-30", "2021-02-02", 32.0], [2, "2021-01-02", "2021-01-01", 8.0])
     rows = snap.explode_period(df, "a", "b", "h")

@@ -57,6 +57,15 @@ def test_a_key_is_never_one_window(spark):
     assert re.search(r"Window \[row_number\(\).*?\], \[__k0#\d+L?, __k0_null#\d+, __s0#\d+, __s0_null#\d+\]", text)
 
 
+@pytest.mark.parametrize("name", ["w01_row_number", "w06_lag_lead", "u14_sequence_events", "u29_call_ranks", "u41_reset_after"])
+def test_ordered_rows_and_summaries_share_one_scan_and_exchange(spark, name):
+    df = catalog.QUERIES[name](spark, SF_DIR)
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("Scan parquet") == 1 and "ReusedExchange" in final
+
+
 def test_assignment_joins_by_equality_only(spark):
     orders = spark.read.parquet(f"{SF_DIR}/orders.parquet").select("o_custkey", "o_orderkey", "o_orderdate")
     calls = spark.read.parquet(f"{SF_DIR}/orders.parquet").select("o_custkey", F.col("o_orderdate").alias("at"))
