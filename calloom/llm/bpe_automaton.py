@@ -1,20 +1,21 @@
-"""BPE encoding and decoding with a tokenization automaton compiled from the merges.
+"""BPE encoding and decoding with a tokenization automaton whose arcs follow from the merges.
 
 States are the tokens read last, arcs are labelled with tokens. The automaton starts with the alphabet, where every
 symbol may follow every other. Each merge (a, b) -> c, in order, is one gadget: it adds the label c and takes away the
-arcs that would leave the boundary a|b unmerged. Written out, the arcs of some 49,000 states would be billions, so a
-gadget is kept in factored form: a token has the chain of pieces on its right edge and on its left edge, each with the
-rank of the merge that absorbs the piece. An arc x -> y exists unless a gadget (a, b) joins a piece a of x's right edge
-with a piece b of y's left edge before either piece is absorbed (on the left, at the same rank also: of equal merges the
-leftmost comes first). Arcs are looked up once and kept in a transition table.
+arcs that would leave the boundary a|b unmerged. Written out, the arcs of some 49,000 states would be billions, so no
+transition table is compiled. A gadget is kept in factored form: a token has the chain of pieces on its right edge and on
+its left edge, each with the rank of the merge that absorbs the piece. An arc x -> y exists unless a gadget (a, b) joins a
+piece a of x's right edge with a piece b of y's left edge before either piece is absorbed (on the left, at the same rank
+also: of equal merges the leftmost comes first). Arcs that a text asks for are worked out once and kept, up to a bound.
 
 A word's encoding is the one path that spells it. It is looked for from left to right, longest label first, and steps
 back where no arc leads on. Encodings of prefixes are unique, so a position is come to by one path at most and is left
 for good once: the search is linear in the word.
-Decoding emits the labels of the arcs.
+Decoding emits the labels of the arcs, and needs no more than these.
 
 Spark does the rest: documents stream through Arrow batches, one scan, no shuffle. Only the vocabulary (a file of fixed
-size) is broadcast; each Python worker compiles it once and keeps a bounded table of the words it has seen.
+size) is broadcast; each Python worker builds the automaton once, and keeps tables of arcs and words of bounded size
+for as long as a task lasts.
 
 Defined cases: a null or blank text has no ids and decodes to the empty text; special tokens inside a text are split
 off first and become their ids; repeated rows give repeated results; input columns named like the result are replaced.
@@ -38,8 +39,8 @@ from calloom.llm.common import text_batches
 END_OF_WORD = "</w>"
 NEVER = 1 << 60
 #: Words whose encodings a worker keeps, and arcs that it keeps; beyond that the tables start anew.
-KEPT_WORDS = 300_000
-KEPT_ARCS = 2_000_000
+KEPT_WORDS = 100_000
+KEPT_ARCS = 500_000
 
 # The characters of the White_Space property.
 WHITE_SPACE = "\t-\r \x85\xa0  -     　"
@@ -163,6 +164,21 @@ class WordTable(dict):
         return packed
 
 
+    def forget(self) -> None:
+        """Give up what was learnt from texts."""
+        self.clear()
+        self.older.clear()
+        self.automaton.arcs.clear()
+
+
+def labels_by_id(source: str) -> list[str]:
+    """The labels of a tokenizer file's JSON text by id; the empty one where there is none."""
+    spec = json.loads(source)
+    labels = {token: label for label, token in spec["model"]["vocab"].items()}
+    labels |= {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return [labels.get(token, "") for token in range(max(labels) + 1)]
+
+
 class Tokenizer:
     """Encodes and decodes whole texts with the vocabulary in a tokenizer file's JSON text."""
 
@@ -173,13 +189,7 @@ class Tokenizer:
         self.table = WordTable(MergeAutomaton(model["vocab"], merges))
         self.special = {t["content"]: np.array([t["id"]], np.int32).tobytes() for t in spec["added_tokens"]}
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.labels = {token: label for label, token in model["vocab"].items()}
-        self.labels |= {t["id"]: t["content"] for t in spec["added_tokens"]}
-
-    @property
-    def all_labels(self) -> list[str]:
-        """Labels by id."""
-        return [self.labels.get(token, "") for token in range(max(self.labels) + 1)]
+        self.labels = labels_by_id(source)
 
     def packed(self, text: str) -> bytes:
         """The ids of a text as packed 32-bit numbers."""
@@ -227,13 +237,16 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(source.value)
-        for batch, texts in text_batches(batches, text):
-            packed = [tokenizer.packed(t) for t in texts]
-            offsets = np.zeros(len(packed) + 1, np.int32)
-            np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
-            values = pa.array(np.frombuffer(b"".join(packed), np.int32))
-            ids = pa.ListArray.from_arrays(pa.array(offsets), values)
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, out])
+        try:
+            for batch, texts in text_batches(batches, text):
+                packed = [tokenizer.packed(t) for t in texts]
+                offsets = np.zeros(len(packed) + 1, np.int32)
+                np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
+                values = pa.array(np.frombuffer(b"".join(packed), np.int32))
+                ids = pa.ListArray.from_arrays(pa.array(offsets), values)
+                yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, out])
+        finally:
+            tokenizer.table.forget()
 
     return docs.mapInArrow(run, schema)
 
@@ -241,11 +254,11 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
 def decode(frame: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds the text that the ids of each row decode to; null ids as none."""
     frame = frame.drop(out)
-    source = frame.sparkSession.sparkContext.broadcast(_read(path))
+    known = frame.sparkSession.sparkContext.broadcast(labels_by_id(_read(path)))
     schema = T.StructType([*frame.schema.fields, T.StructField(out, T.StringType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels = pa.array(_tokenizer(source.value).all_labels, pa.string())
+        labels = pa.array(known.value, pa.string())
         for batch in batches:
             rows = batch.column(ids)
             lists = pa.ListArray.from_arrays(rows.offsets, labels.take(rows.values))
