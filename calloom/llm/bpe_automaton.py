@@ -189,7 +189,7 @@ class Tokenizer:
         self.table = WordTable(MergeAutomaton(model["vocab"], merges))
         self.special = {t["content"]: np.array([t["id"]], np.int32).tobytes() for t in spec["added_tokens"]}
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.labels = labels_by_id(source)
+        self.labels = {token: label for token, label in enumerate(labels_by_id(source)) if label}
 
     def packed(self, text: str) -> bytes:
         """The ids of a text as packed 32-bit numbers."""
