@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from calloom.llm.bpe_automaton import WHITE_SPACE, _read
-from calloom.llm.common import fresh, hottest, text_batches
+from calloom.llm.common import fresh, hot_rows, text_batches
 from calloom.session import stage
 
 #: Words whose ids are broadcast, at most; and words that a task counts before it passes them on.
@@ -142,17 +142,17 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     docs = docs.drop("ids")
     pattern, ranks = word_pattern(pattern), read_ranks(path)
     totals = stage(word_totals(docs, pattern, text))
-    words, codes = hottest(
-        totals, "piece", "total", F.array_join(encoded(F.array(latin(F.col("piece"))), ranks)[0], " ").alias("codes"), limit=FREQUENT
-    )
-    known = docs.sparkSession.sparkContext.broadcast((words, codes))
+    code = F.array_join(encoded(F.array(latin(F.col("piece"))), ranks)[0], " ").alias("codes")
+    # as Arrow columns: no object for each word on the driver
+    frequent = hot_rows(totals, "piece", "total", FREQUENT).select("piece", code).toArrow().combine_chunks()
+    known = docs.sparkSession.sparkContext.broadcast((frequent.column(0), frequent.column(1)))
     part, rest = fresh(docs, "part"), fresh(docs, "rest")
     schema = T.StructType([
         *docs.schema.fields, T.StructField(part, T.ArrayType(T.IntegerType())), T.StructField(rest, T.ArrayType(T.StringType())),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, (words, codes) = regex.compile(pattern).findall, known.value
+        split, (words, codes) = regex.compile(pattern).findall, (column.to_pylist() for column in known.value)
         number = dict(zip(words, range(len(words))))
         sizes = np.array([c.count(" ") + 1 for c in codes], np.int64)
         starts, flat = np.cumsum(sizes) - sizes, np.array(" ".join(codes).split(), np.int32)

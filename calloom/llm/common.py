@@ -39,8 +39,8 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def hottest(table: DataFrame, item: str, total: str, *values: str | Column, limit: int = HOT) -> list:
-    """Columns (item, values) of the most frequent short items, ``limit`` at most.
+def hot_rows(table: DataFrame, item: str, total: str, limit: int = HOT) -> DataFrame:
+    """The rows of the most frequent short items, ``limit`` at most.
 
     A histogram of totals, some hundred rows, gives the total from which on there are no more than that.
     """
@@ -52,8 +52,13 @@ def hottest(table: DataFrame, item: str, total: str, *values: str | Column, limi
         if count > limit:
             break
         least = row["step"]
-    rows = short.filter(step >= least if least is not None else F.lit(False)).select(item, *values).toPandas()
-    return [rows[name].tolist() for name in rows.columns]
+    return short.filter(step >= least if least is not None else F.lit(False))
+
+
+def hottest(table: DataFrame, item: str, total: str, *values: str) -> list:
+    """Columns (item, values) of the most frequent short items, ``HOT`` at most."""
+    rows = hot_rows(table, item, total).select(item, *values).toPandas()
+    return [rows[name].tolist() for name in (item, *values)]
 
 
 def first_of_each(df: DataFrame, group: str, order: list[str], n: int) -> DataFrame:
