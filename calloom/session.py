@@ -59,10 +59,24 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    path, files = _path(spark, folder)
+    return files.exists(path)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    path, files = _path(spark, folder)
+    files.delete(path, True)
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Remove this application's intermediate tables, once nothing that was built on them is read any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(stage_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    drop_folder(spark, stage_folder(spark))
 
 
 @contextmanager

@@ -1,3 +1,3 @@
-from calloom.sources.tables import Tables, read_report, write_report
+from calloom.sources.tables import Tables, duplicate_keys, read_report, refresh_report, write_report
 
-__all__ = ["Tables", "read_report", "write_report"]
+__all__ = ["Tables", "duplicate_keys", "read_report", "refresh_report", "write_report"]

@@ -37,14 +37,15 @@ def test_entry(spark):
 def test_reports_written_in_order_equal_the_queries(spark, tmp_path):
     from calloom import plans
     from calloom.session import stage_folder
-    from calloom.sources import Tables
+    from calloom.sources import Tables, refresh_report
     from checks.domain import AS_OF, START, domain
     from checks.reports import GAPS
 
     tables, folder = domain(Tables(spark, SF_DIR)), stage_folder(spark).removeprefix("file:")
     before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
     done = plans.materialise(
-        tables, str(tmp_path), AS_OF, START, gaps=GAPS, excluded_campaign="%SPECIAL%", forecast_start=START)
+        tables, str(tmp_path), AS_OF, START, gaps=GAPS, excluded_campaign="%SPECIAL%", forecast_start=START,
+        refresh=True)
     # nothing is left of the intermediate tables
     assert (set(os.listdir(folder)) if os.path.isdir(folder) else set()) == before
     calls = plans.call_performance(tables, GAPS)
@@ -62,6 +63,15 @@ def test_reports_written_in_order_equal_the_queries(spark, tmp_path):
             c: F.round(c, 6) for c, kind in rows.dtypes if kind == "double"}) for rows in (done[name], report))
         assert got.count() == expected.count() > 0, name
         assert got.exceptAll(expected).isEmpty(), name
+    # a refresh finds nothing to rewrite, and leaves the files alone
+    def written(name):
+        folder = tmp_path / name
+        return {(str(f), f.stat().st_mtime_ns) for f in folder.rglob("*.parquet")}
+
+    before = {name: written(name) for name in ("workforce_days", "call_performance")}
+    assert refresh_report(want["workforce_days"], str(tmp_path / "workforce_days"), "date").isEmpty()
+    assert refresh_report(want["call_performance"], str(tmp_path / "call_performance"), "ticket_date").isEmpty()
+    assert all(before[name] == written(name) and before[name] for name in before)
     # the capacity plan reads the dates from its day on only
     plan = plans.capacity_plan(tables, done["demand_forecast"], done["workforce_days"], AS_OF)
     text = plan._jdf.queryExecution().executedPlan().toString()
