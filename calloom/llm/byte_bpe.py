@@ -37,8 +37,8 @@ from calloom.session import stage
 
 #: Words whose ids are broadcast, at most; and words that a task counts before it passes them on.
 FREQUENT, KEPT = 1 << 19, 300_000
-#: Maps in the literal of ranks.
-SLOTS = 1 << 16
+#: Maps in the literal of ranks: few, as every task reads the literal anew, and each with a dozen pieces to look through.
+SLOTS = 1 << 12
 #: Marks before and after a piece: not Latin-1, so in no word.
 OPEN, CLOSE = "Ā", "ā"
 
