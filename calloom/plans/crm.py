@@ -28,7 +28,7 @@ def crm_events(tables: Tables) -> DataFrame:
 
     An event has as many rows as its user properties and parameters make: per distinct parameter value one
     base row, repeated for every parameter of every event with the same user, time, type and name. These
-    copies are counted first and unfolded at the end, so that copies of one user never meet each other.
+    copies are counted first and unfolded after the join, so that copies of one user never meet each other.
     """
     mails = tables["events"].filter(F.col("event_category").isin(*v.MAIL_CATEGORIES)).select(
         "event_date", "event_timestamp", "event_name", "event_category", "event_type", "user_id",
