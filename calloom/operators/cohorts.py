@@ -54,41 +54,50 @@ def cohort_date(df: DataFrame, by: Sequence[str], condition: Column, date: str,
 
 def rerun_cohort_date(df: DataFrame, by: Sequence[str], condition: Column, date: str, order: Sequence[str],
                       classic: str = "cohort_date", name: str = "cohort_date_alt",
-                      source: DataFrame | None = None) -> DataFrame:
-    """Cohort date of a repeated campaign run.
+                      source: DataFrame | None = None, weight: str | None = None) -> DataFrame:
+    """Cohort date of a repeated campaign run, and the classic one.
 
     The second date on which the condition held for the key (the first, if it held once), valid from the
     first such row on. Rows on or after that date get it, earlier ones the classic date, rows before the
-    first such row none. ``order`` starts with ``date`` and is total per key.
+    first such row none. ``order`` starts with ``date`` and is total per key. A row stands ``weight`` times.
+    Rows without a date are none for which the condition holds.
 
-    Rows are counted per key and day first, so the window spans the days of one key.
+    The first two of these rows tell both dates. Each task passes on two rows of a key, so a hot key is no window.
     """
     place, source = F.struct(*order), df if source is None else source
     key = Key(source, by)
-    by_day = (
-        key.on(source).filter(condition)
-        .groupBy(*key.names, F.col(date).alias("__day"))
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(place).alias("__from"))
+    nth = F.row_number().over(Window.partitionBy(*key.names).orderBy("__place"))
+    first_two = (
+        key.on(source).filter(condition & F.col(date).isNotNull())
+        .select(*key.names, place.alias("__place"), F.col(date).alias("__day"),
+                (F.col(weight) if weight else F.lit(1)).alias("__weight"))
+        .withColumn("__nth", nth).filter(F.col("__nth") <= 2)
     )
-    day = Window.partitionBy(*key.names).orderBy("__day")
-    start = (
-        by_day.withColumns({"__nth": F.row_number().over(day), "__next": F.lead("__day").over(day)})
-        .filter(F.col("__nth") == 1)
-        .select(
-            *key.names, "__from",
-            F.when(F.col("__n") > 1, F.col("__day")).otherwise(F.coalesce("__next", "__day")).alias("__rerun"),
-        )
+    first, last = F.min(F.struct("__nth", "__place", "__day", "__weight")), F.max(F.struct("__nth", "__day"))
+    start = first_two.groupBy(*key.names).agg(first.alias("__first"), last["__day"].alias("__last")).select(
+        *key.names, F.col("__first")["__place"].alias("__from"), F.col("__first")["__day"].alias("__day"),
+        F.when(F.col("__first")["__weight"] > 1, F.col("__first")["__day"]).otherwise(F.col("__last")).alias("__rerun"),
     )
     rows = key.on(df).join(start, key.names, "left")
     carried = F.when(place >= F.col("__from"), F.col("__rerun"))
-    value = F.when(F.col(date) >= carried, carried).when(F.col(date) < carried, F.col(classic))
-    return rows.withColumn(name, value).drop(*key.names, "__from", "__rerun")
+    value = F.when(F.col(date) >= carried, carried).when(F.col(date) < carried, F.col("__day"))
+    return rows.withColumns({classic: F.col("__day"), name: value}).drop(*key.names, "__from", "__day", "__rerun")
 
 
 def sequence_events(df: DataFrame, by: Sequence[str], order: Sequence[str], slices: Sequence[Column],
-                    asc: str = "user_event_rank_asc", desc: str = "user_event_rank_desc") -> DataFrame:
-    """Number the rows of a key from the first and from the last."""
-    return ordered(df, by, order, slices, row_number=asc, row_number_desc=desc)
+                    asc: str = "user_event_rank_asc", desc: str = "user_event_rank_desc",
+                    weight: str | None = None) -> DataFrame:
+    """Number the rows of a key from the first and from the last.
+
+    A row that stands ``weight`` times is unfolded at the end: ranks are running sums of weights, so copies never
+    meet each other. ``weight`` is then not in the result.
+    """
+    if weight is None:
+        return ordered(df, by, order, slices, row_number=asc, row_number_desc=desc)
+    rows = ordered(df, by, order, slices, running_sum={"__upto": weight}, key_sum={"__all": weight})
+    rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(weight).cast("long"))))
+    number = F.col("__upto") - F.col(weight) + F.col("__copy")
+    return rows.withColumns({asc: number, desc: F.col("__all") - number + 1}).drop(weight, "__upto", "__all", "__copy")
 
 
 def trigger_dates(df: DataFrame, triggers: Mapping[str, Column], by: Sequence[str], date: str,

@@ -126,8 +126,36 @@ def latest_of_type(df: DataFrame, type_column: str, type_: str, key: str, date:
     return df.filter(F.col(type_column) == type_).groupBy(key).agg(F.max(date).alias(name))
 
 
+def count_ids(df: DataFrame, by: Sequence[str | Column], id_: str | Column, counts: Mapping[str, Column | None],
+              sums: Mapping[str, Column] | None = None) -> DataFrame:
+    """Per key, count the different ids among the rows for which each condition holds (None: all), and sum values.
+
+    Rows are reduced to one per key and id, with a flag for each condition, and then the flags are counted. Several
+    distinct counts next to each other would copy every row once for each of them before the shuffle. Null ids do
+    not count, but their rows are summed; a key without any id has count 0.
+    """
+    held = {name: F.lit(True) if p is None else F.coalesce(p, F.lit(False)) for name, p in counts.items()}
+    keys = df.select(*by).columns
+    id_ = F.col(id_) if isinstance(id_, str) else id_
+    per_id = df.groupBy(*by, id_.alias("__id")).agg(
+        *[F.bool_or(p).alias(name) for name, p in held.items()],
+        *[F.sum(value).alias(name) for name, value in (sums or {}).items()],
+    )
+    known = F.col("__id").isNotNull()
+    return per_id.groupBy(*keys).agg(
+        *[F.count_if(known & F.col(name)).alias(name) for name in counts],
+        *[F.sum(name).alias(name) for name in sums or {}],
+    )
+
+
 def kpis_by_dim(facts: DataFrame, dimension: DataFrame, key: str, by: Mapping[str, Column],
-                kpis: Mapping[str, Column]) -> DataFrame:
-    """Aggregate facts by attributes of the dimension row they belong to; unmatched rows drop out."""
-    groups = [c.alias(name) for name, c in by.items()]
-    return facts.join(dimension, key).groupBy(*groups).agg(*[c.alias(n) for n, c in kpis.items()])
+                kpis: Mapping[str, Column], id_: str | None = None,
+                counts: Mapping[str, Column | None] | None = None) -> DataFrame:
+    """Aggregate facts by attributes of the dimension row they belong to; unmatched rows drop out.
+
+    ``kpis`` are aggregates; with ``id_`` they are the values to sum, next to ``counts`` of different ids.
+    """
+    groups, rows = [c.alias(name) for name, c in by.items()], facts.join(dimension, key)
+    if id_ is not None:
+        return count_ids(rows, groups, id_, counts or {}, kpis)
+    return rows.groupBy(*groups).agg(*[c.alias(n) for n, c in kpis.items()])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from calloom.functions.calendar import age_days, monday_week, month_key
 from calloom.operators.cohorts import (
-    attribute_conversion, cohort_date, funnel_stage, rerun_cohort_date, sequence_events, single_credit,
+    attribute_conversion, funnel_stage, rerun_cohort_date, sequence_events, single_credit,
     trigger_dates,
 )
 from calloom.operators.keyed import first_id, latest_of_type, lookup
@@ -28,7 +28,7 @@ def crm_events(tables: Tables) -> DataFrame:
 
     An event has as many rows as its user properties and parameters make: per distinct parameter value one
     base row, repeated for every parameter of every event with the same user, time, type and name. These
-    copies are counted first and unfolded after the join, so that copies of one user never meet each other.
+    copies are carried as a weight, and unfolded once cohorts and sequence numbers are known.
     """
     mails = tables["events"].filter(F.col("event_category").isin(*v.MAIL_CATEGORIES)).select(
         "event_date", "event_timestamp", "event_name", "event_category", "event_type", "user_id",
@@ -52,16 +52,14 @@ def crm_events(tables: Tables) -> DataFrame:
     names = copies.groupBy("user_email").agg(
         F.max("first_name").alias("user_first_name"), F.max("last_name").alias("user_last_name"))
     rows = base.join(copies.select(*EVENT_KEYS, "copies"), EVENT_KEYS)
-    rows = rows.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
     rows = rows.join(names, "user_email", "left").withColumn("activity_date", F.col("event_date").cast("date"))
 
-    rows = base_rows = stage(funnel_stage(rows, "event_name", v.MAIL_STAGES, "email_type"))
+    rows = stage(funnel_stage(rows, "event_name", v.MAIL_STAGES, "email_type"))
     order = ["activity_date", "email_type_rank", "email_event_rank", "clang_uuid", "event_timestamp", "event_type",
-             "crm_category", "email_type", "event_name", "copy"]
+             "crm_category", "email_type", "event_name"]
     by, sent = ["user_email", "email_type"], F.col("email_event_rank") == 1
-    rows = cohort_date(rows, by, sent, "activity_date", source=base_rows)
-    rows = rerun_cohort_date(rows, by, sent, "activity_date", order, source=base_rows)
-    rows = sequence_events(rows, ["user_email"], order, [F.col(c) for c in order[:3]])
+    rows = rerun_cohort_date(rows, by, sent, "activity_date", order, weight="copies")
+    rows = sequence_events(rows, ["user_email"], order, [F.col(c) for c in order[:3]], weight="copies")
     return rows.select(
         "activity_date", "cohort_date", "cohort_date_alt", "crm_category", "event_type", "email_type_rank",
         "email_type", "email_type_concat", "email_event_rank", "email_event", "email_event_concat", "user_email",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from calloom.functions.calendar import iso_week, month_key
-from calloom.operators.keyed import kpis_by_dim
+from calloom.operators.keyed import count_ids, kpis_by_dim
 from calloom.operators.marketing import allocate, merge_facts, recode
 from calloom.operators.spine import each_class
 from calloom.plans import vocabulary as v
@@ -30,9 +30,8 @@ def market_fit(tables: Tables) -> DataFrame:
     """One row per date, channel, campaign, form type, form mode and device, with spend split over devices."""
     qualified = F.col("qualified_flag") == 1
     lead_table = tables["uk_fact_lead_main"]
-    leads = lead_table.withColumnRenamed("lead_date", "date").groupBy(*KEYS).agg(
-        F.count_distinct("lead_id").alias("num_leads"),
-        F.count_distinct(F.when(qualified, F.col("lead_id"))).alias("num_qualified_leads"))
+    leads = count_ids(lead_table.withColumnRenamed("lead_date", "date"), KEYS, "lead_id",
+                      {"num_leads": None, "num_qualified_leads": qualified})
     spend = tables["uk_fact_daily_marketing_activity"].groupBy("date", *GROUP).agg(
         F.sum("marketing_costs_in_eur").alias("marketing_spend"), F.sum("num_clicks").alias("num_clicks"))
     spend = each_class(spend, lead_table, "device_type")
@@ -47,8 +46,7 @@ def market_fit(tables: Tables) -> DataFrame:
     customers = tables["uk_dim_customer"]
     screenings = kpis_by_dim(
         tables["uk_fact_screening_main"].filter(F.col("post_lead_flag") == 1), customers, "customer_id", acquisition(),
-        {"num_screenings": F.count_distinct("screening_id"),
-         "num_qualified_screenings": F.count_distinct(F.when(qualified, F.col("screening_id")))})
+        {}, "screening_id", {"num_screenings": None, "num_qualified_screenings": qualified})
     sales = kpis_by_dim(
         tables["uk_fact_sales_main"].filter(F.col("post_lead_flag") == 1), customers, "customer_id", acquisition(),
         {"num_invoices": F.count_distinct(F.when(F.col("hea_quantity_invoiced") > 0, F.col("invoice_id"))),

@@ -235,8 +235,7 @@ from c
 """)
 def _(t):
     by, sent = ["user_id", "mail_type"], F.col("event_type") == "signup"
-    rows = coh.cohort_date(shared(t, TYPED, "events"), by, sent, "day")
-    rows = coh.rerun_cohort_date(rows, by, sent, "day", ["day", "ts", "event_id"])
+    rows = coh.rerun_cohort_date(shared(t, TYPED, "events"), by, sent, "day", ["day", "ts", "event_id"])
     return rows.select("event_id", "cohort_date", "cohort_date_alt")
 
 

@@ -219,17 +219,18 @@ from lineitem group by 1, 2
 def _(t):
     quantity, price = F.col("l_quantity"), F.col("l_extendedprice")
     since = F.lit("2001-01-01").cast("timestamp_ntz")
-    return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(
+    by = ["l_returnflag", "l_linestatus"]
+    orders = keyed.count_ids(t.lineitem, by, "l_orderkey", {"orders": None, "big_orders": quantity > 40})
+    return t.lineitem.groupBy(*by).agg(
         F.sum("l_quantity").cast("long").alias("quantity"), F.count("*").alias("n"),
         F.count(F.when(F.col("l_tax") > 0.05, F.col("l_orderkey"))).alias("taxed"),
         F.sum(F.when(F.col("l_discount") > 0.05, quantity)).cast("long").alias("reduced"),
-        F.count_distinct("l_orderkey").alias("orders"),
-        F.count_distinct(F.when(quantity > 40, F.col("l_orderkey"))).alias("big_orders"),
         F.count_distinct(F.when(quantity < 5, F.col("l_partkey"))).alias("small_parts"),
         F.max(text.flag(quantity == 50)).alias("any_full"), F.min(text.flag(quantity > 0)).alias("all_some"),
         F.min(price).alias("least"), F.max(price).alias("most"),
         F.max(F.when(F.col("l_shipdate") >= since, price)).alias("most_recent"),
-        F.round(F.try_divide(F.sum("l_quantity"), F.count(F.when(F.col("l_linenumber") > 6, 1))), 6).alias("ratio"))
+        F.round(F.try_divide(F.sum("l_quantity"), F.count(F.when(F.col("l_linenumber") > 6, 1))), 6).alias("ratio"),
+    ).join(orders, by)
 
 
 @query("a10_group_by_all_columns", """

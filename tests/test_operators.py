@@ -204,6 +204,38 @@ def test_rerun_cohort(table):
         (1, None), (2, first), (3, first), (4, second), (5, second), (6, second), (7, first), (8, first)]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_weighted_numbering_equals_unfolded_copies(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.choice("uvw"), day(f"2021-01-{rng.randint(1, 9):02}"), n, rng.random() < 0.4, rng.choice([1, 1, 2, 5]))
+            for n in range(60)]
+    df = spark.createDataFrame(rows, "u string, d date, id int, sent boolean, copies int")
+    unfolded = df.select("*", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copies")
+    got = coh.rerun_cohort_date(df, ["u"], F.col("sent"), "d", ["d", "id"], weight="copies")
+    got = coh.sequence_events(got, ["u"], ["d", "id"], [F.col("d")], weight="copies")
+    want = coh.rerun_cohort_date(unfolded, ["u"], F.col("sent"), "d", ["d", "id", "copy"])
+    want = coh.sequence_events(want, ["u"], ["d", "id", "copy"], [F.col("d")])
+    # by hand: the second sent row's date from the first sent row on
+    for u in "uvw":
+        sent = sorted((r[1], r[2]) for r in rows if r[0] == u and r[3] for _ in range(r[4]))
+        for r in got.filter(F.col("u") == u).collect():
+            assert r["cohort_date"] == (sent[0][0] if sent else None)
+            rerun = sent[min(1, len(sent) - 1)][0] if sent and (r["d"], r["id"]) >= sent[0] else None
+            assert r["cohort_date_alt"] == (None if rerun is None else rerun if r["d"] >= rerun else sent[0][0])
+    names = ["id", "cohort_date", "cohort_date_alt", "user_event_rank_asc", "user_event_rank_desc"]
+    assert values(got, *names) == values(want, *names)
+
+
+def test_ids_are_counted_in_two_steps(spark, table):
+    df = table("g string, id string, q int, eur int", ["a", "x", 1, 1], ["a", "x", 0, 2], ["a", "y", 0, 4], ["a", None, 1, 8],
+               [None, "x", None, 16], [None, "x", 1, 32], ["b", None, 1, 64])
+    rows = keyed.count_ids(df, ["g"], "id", {"n": None, "held": F.col("q") == 1}, {"eur": F.col("eur")})
+    assert values(rows, "g", "n", "held", "eur") == values(
+        df.groupBy("g").agg(F.count_distinct("id").alias("n"), F.count_distinct(F.when(F.col("q") == 1, F.col("id"))).alias("held"),
+                            F.sum("eur").alias("eur")), "g", "n", "held", "eur")
+    assert "Expand" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
 def test_one_credit_per_key(table):
     df = table("u string, d date, id int, f int", ["u", "2021-01-01", 1, 1], ["u", "2021-01-02", 2, 1],
                ["u", "2021-01-02", 3, 1], ["u", "2021-01-05", 4, 0], ["w", "2021-01-01", 5, 0])

@@ -66,6 +66,20 @@ def test_ordered_rows_and_summaries_share_one_scan_and_exchange(spark, name):
     assert final.count("Scan parquet") == 1 and "ReusedExchange" in final
 
 
+@pytest.mark.parametrize("name", ["a01_grouped_aggregates", "u60_kpis_by_dim", "r08_demand_forecast", "r10_market_fit"])
+def test_distinct_counts_copy_no_rows(spark, name):
+    assert "Expand" not in plan(catalog.QUERIES[name](spark, SF_DIR))
+
+
+def test_fallbacks_need_no_window(spark):
+    assert "Window" not in plan(catalog.QUERIES["u04_fallback_rank"](spark, SF_DIR))
+
+
+def test_cohorts_pass_on_two_rows_of_a_key(spark):
+    text = plan(catalog.QUERIES["u13_rerun_cohort_date"](spark, SF_DIR))
+    assert text.count("Scan parquet") <= 2 and re.search(r"WindowGroupLimit .*, 2, Partial", text)
+
+
 def test_assignment_joins_by_equality_only(spark):
     orders = spark.read.parquet(f"{SF_DIR}/orders.parquet").select("o_custkey", "o_orderkey", "o_orderdate")
     calls = spark.read.parquet(f"{SF_DIR}/orders.parquet").select("o_custkey", F.col("o_orderdate").alias("at"))
