@@ -20,6 +20,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Settings of the operators."""
     # whole texts travel through Arrow: small batches keep a worker's memory flat
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    # .. in bytes too: a thousand very long texts, or a few graphs of shards, are not one batch
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     # literal tables of ranks would fill the driver's memory as text of plans
     spark.conf.set("spark.sql.maxPlanStringLength", "20000")
     # Python workers import this package from where the driver has it, if their own path lacks it

@@ -27,10 +27,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from calloom.session import stage
 
-SHARD_ROWS = 4096
-QUERY_BLOCK = 256
+SHARD_ROWS = 1 << 14
+QUERY_BLOCK = 1 << 10
+#: Tasks for each full shard, so that few shards seldom meet in one, and tasks at most. Rows are few and their work is long.
+SPREAD, MOST_TASKS = 4, 1 << 14
 DEGREE, BEAM, RELAX = 32, 64, 1.2
-SEARCH_BEAM = 160
+SEARCH_BEAM = 256
 #: Nodes that one step of a search opens, nodes where it begins, points that enter together, and points that enter twice.
 OPENED, ENTRIES, BATCH, AGAIN = 4, 16, 256, 1024
 
@@ -151,14 +153,20 @@ def usable(vector: Column) -> Column:
     return F.coalesce(F.size(vector) > 0, F.lit(False)) & ~F.exists(vector, bad) & F.exists(vector, lambda x: x != 0)
 
 
+def _tasks(nodes: int | None, shard_rows: int) -> int:
+    """How many tasks to deal shards to: a number Spark keeps, as by their bytes all would be one task."""
+    return max(1, min(SPREAD * -(-(nodes or 0) // shard_rows), MOST_TASKS))
+
+
 def build_index(rows: DataFrame, copies: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(shard, dim, graph): one serialised graph for each shard of ``rows`` (id, vector), with ids by node."""
+    """(shard, dim, size, graph): one serialised graph for each shard of ``rows`` (id, vector), with ids by node."""
     rows = rows.withColumn("_deal", F.xxhash64("vector"))
     by_vector = Window.partitionBy("_deal", "vector").orderBy("id")
     few = rows.withColumn("_rank", F.row_number().over(by_vector)).filter(F.col("_rank") <= copies)
     nodes = few.groupBy("_deal", "vector").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     nodes = stage(nodes.withColumn("dim", F.size("vector")))
     shards = nodes.groupBy("dim").agg(F.ceil(F.count("*") / shard_rows).alias("shards"))
+    tasks = _tasks(nodes.count(), shard_rows)
     dealt = nodes.join(shards, "dim").withColumn("shard", F.pmod("_deal", "shards").cast("int"))
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
@@ -166,10 +174,10 @@ def build_index(rows: DataFrame, copies: int, shard_rows: int = SHARD_ROWS) -> D
         points = np.array(group["vector"].tolist(), np.float64)
         graph = Graph.build(points)
         data = pickle.dumps((graph.entries, graph.edges, points, [np.array(ids, np.int64) for ids in group["ids"]]))
-        return pd.DataFrame({"shard": [group["shard"].iloc[0]], "dim": [points.shape[1]], "graph": [data]})
+        return pd.DataFrame({"shard": [group["shard"].iloc[0]], "dim": [points.shape[1]], "size": [len(points)], "graph": [data]})
 
     kept = dealt.select("dim", "shard", "_deal", F.col("vector").cast("array<double>").alias("vector"), "ids")
-    return stage(kept.groupBy("dim", "shard").applyInPandas(build, "shard int, dim int, graph binary"))
+    return stage(kept.repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInPandas(build, "shard int, dim int, size int, graph binary"))
 
 
 def search(index: DataFrame, queries: DataFrame, k: int, block: int = QUERY_BLOCK) -> DataFrame:
@@ -184,7 +192,9 @@ def search(index: DataFrame, queries: DataFrame, k: int, block: int = QUERY_BLOC
     shards = index.groupBy("dim").agg(F.max("shard").alias("_last"))
     blocks = blocks.join(shards, "dim")
     blocks = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), "_last"))).select("dim", "shard", "queries")
-    met = index.join(blocks, ["dim", "shard"]).select("graph", "queries")
+    tasks = _tasks(index.agg(F.sum("size")).first()[0], SHARD_ROWS)
+    met = index.repartition(tasks, "dim", "shard").join(blocks.repartition(tasks, "dim", "shard"), ["dim", "shard"])
+    met = met.select("graph", "queries")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

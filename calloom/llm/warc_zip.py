@@ -7,8 +7,9 @@ manifest, so what a lost task left behind is never read.
 
 Reading: a package's end record and, where there is one, its ZIP64 end record give the central directory, which gives the
 members; the local header gives where a member's bytes begin. The index member is read by its range and makes a table of
-record ranges. Ranges are dealt out anew by package and ``READ_BYTES`` of it, and each record is read by itself. Members
-without an index are walked once to find their records.
+record ranges. Ranges are dealt out anew by package and ``READ_BYTES`` of it, to as many tasks as the manifest's bytes ask
+for; neighbouring records are read by one request of up to ``REQUEST_BYTES``. Members without an index are walked once to
+find their records.
 
 Of equal payloads of at least ``REVISIT_BYTES`` only the smallest key's record has the payload, others are revisits. The
 smallest key comes from an aggregate, and only digests found twice or more go into the join; a digest that fills a third
@@ -41,6 +42,9 @@ from calloom.session import stage, stage_folder
 REVISIT_BYTES = 100
 PACKAGE_BYTES = 64 << 20
 READ_BYTES = 4 << 20
+REQUEST_BYTES = 1 << 20
+#: Tasks that read, at most.
+MOST_TASKS = 1 << 15
 DATE = "1970-01-01T00:00:00Z"
 MEMBER, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -88,18 +92,18 @@ class _Package:
         self.index.append(json.dumps({"id": key, "filename": MEMBER, "offset": self.size, "length": len(data)}))
         self.size += len(data)
 
-    def close(self) -> tuple[str, int]:
+    def close(self) -> tuple[str, int, int]:
         self.member.close()
         with self.zip.open(zipfile.ZipInfo(INDEX), "w") as member:
             for line in self.index:
                 member.write(f"page 19700101000000 {line}\n".encode())
         self.zip.close()
         self.out.close()
-        return self.path, len(self.index)
+        return self.path, len(self.index), self.size
 
 
 def write_packages(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
-    """Write one record per row; the result, (package, records), is the manifest."""
+    """Write one record per row; the result, (package, records, bytes), is the manifest."""
     text = F.coalesce(F.col(payload).cast("string"), F.lit(""))
     pages = pages.select(
         F.col(key).cast("long").alias("key"), F.col(url).cast("string").alias("url"), text.alias("payload"),
@@ -127,11 +131,11 @@ def write_packages(pages: DataFrame, folder: str, key: str = "page_id", url: str
         if package:
             done.append(package.close())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([p for p, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())],
-            names=["package", "records"],
+            [pa.array([d[0] for d in done], pa.string()), *(pa.array([d[n] for d in done], pa.int64()) for n in (1, 2))],
+            names=["package", "records", "bytes"],
         )
 
-    return stage(decided.mapInArrow(run, "package string, records long"))
+    return stage(decided.mapInArrow(run, "package string, records long, bytes long"))
 
 
 # --- reading -----------------------------------------------------------------------------------------------------------
@@ -153,6 +157,22 @@ class Package:
         self.size = self.file.size()
         self.members = {m.name: m for m in self._directory()}
 
+    def close(self) -> None:
+        self.file.close()
+
+    def ranges(self, spans: list[tuple[int, int]]) -> Iterator[bytes]:
+        """The bytes of ranges in order of their offset; neighbours come from one request."""
+        first = 0
+        while first < len(spans):
+            begin, length = spans[first]
+            end, after = begin + length, first + 1
+            while after < len(spans) and spans[after][0] == end and end + spans[after][1] - begin <= REQUEST_BYTES:
+                end, after = end + spans[after][1], after + 1
+            data = self.range(begin, end - begin)
+            for offset, length in spans[first:after]:
+                yield data[offset - begin : offset - begin + length]
+            first = after
+
     def range(self, offset: int, length: int) -> bytes:
         data = self.file.read_at(length, offset)
         if len(data) != length:
@@ -277,7 +297,9 @@ def record_ranges(packages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column("package").to_pylist():
-                ranges = list(Package(path).record_ranges())
+                package = Package(path)
+                ranges = list(package.record_ranges())
+                package.close()
                 for at in range(0, len(ranges), 10_000):
                     part = ranges[at : at + 10_000]
                     yield pa.RecordBatch.from_arrays(
@@ -291,26 +313,39 @@ def record_ranges(packages: DataFrame) -> DataFrame:
     return packages.select("package").mapInArrow(run, "package string, offset long, length long")
 
 
-def read_records(ranges: DataFrame) -> DataFrame:
-    """The records at the given ranges; neighbouring ones are read by the same task."""
+def read_records(ranges: DataFrame, tasks: int) -> DataFrame:
+    """The records at the given ranges, read by a number of tasks; neighbouring ones are read by the same task.
+
+    Spark would choose the number by the bytes of the ranges, which say nothing of the bytes of the records.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path, package = None, None
         for batch in batches:
             rows = batch.to_pylist()
-            for at in range(0, len(rows), 500):
-                found = []
-                for row in rows[at : at + 500]:
-                    if row["package"] != path:
-                        path, package = row["package"], Package(row["package"])
-                    found.append(parse_record(gzip.decompress(package.range(row["offset"], row["length"]))))
+            at = 0
+            while at < len(rows):
+                if rows[at]["package"] != path:
+                    if package:
+                        package.close()
+                    path = rows[at]["package"]
+                    package = Package(path)
+                spans = []
+                while at < len(rows) and len(spans) < 500 and rows[at]["package"] == path:
+                    spans.append((rows[at]["offset"], rows[at]["length"]))
+                    at += 1
+                found = [parse_record(gzip.decompress(data)) for data in package.ranges(spans)]
                 yield pa.RecordBatch.from_pylist(found, schema=_ARROW)
+        if package:
+            package.close()
 
-    dealt = ranges.repartition("package", F.floor(F.col("offset") / READ_BYTES)).sortWithinPartitions("package", "offset")
-    return dealt.mapInArrow(run, RECORD)
+    place = ["package", F.floor(F.col("offset") / READ_BYTES)]
+    return ranges.repartition(tasks, *place).sortWithinPartitions("package", "offset").mapInArrow(run, RECORD)
 
 
 def round_trip(pages: DataFrame, **columns: str) -> DataFrame:
     """Pages written to packages in the shared folder and read back."""
     folder = f"{stage_folder(pages.sparkSession)}/packages-{uuid.uuid4().hex}"
-    return read_records(record_ranges(write_packages(pages, folder, **columns)))
+    manifest = write_packages(pages, folder, **columns)
+    stored = manifest.agg(F.sum("bytes")).first()[0] or 0
+    return read_records(record_ranges(manifest), max(1, min(-(-stored // READ_BYTES), MOST_TASKS)))

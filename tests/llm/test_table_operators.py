@@ -184,6 +184,23 @@ def test_many_shards_find_what_one_finds(spark):
     assert hits >= 0.9 * 20 * 9
 
 
+def test_shards_and_ranges_are_dealt_to_tasks(spark):
+    rows = spark.range(600).select("id", F.expr("transform(sequence(1, 4), x -> double(hash(id, x) % 1000))").alias("vector"))
+    index = vamana.build_index(rows, 1, shard_rows=50)
+    assert index.count() == 12 and len(index.inputFiles()) > 3
+    page = spark.range(40).select(F.col("id").alias("key"), F.lit("u").alias("url"), F.expr("repeat(uuid(), 2000)").alias("html"))
+    folder = f"{warc_zip.stage_folder(spark)}/packages-test"
+    ranges = warc_zip.record_ranges(warc_zip.write_packages(page, folder, key="key"))
+    for limit in (1, 1 << 20):  # every record by itself, and neighbours together
+        read = warc_zip.Package(ranges.first()["package"])
+        spans = list(read.record_ranges())
+        old, warc_zip.REQUEST_BYTES = warc_zip.REQUEST_BYTES, limit
+        assert list(read.ranges(spans)) == [read.range(*span) for span in spans]
+        warc_zip.REQUEST_BYTES = old
+        read.close()
+    assert warc_zip.read_records(ranges, 5).select("key").distinct().count() == 40
+
+
 # --- archives ----------------------------------------------------------------------------------------------------------
 
 PAGES = [
