@@ -39,7 +39,7 @@ from calloom.llm.common import text_batches
 END_OF_WORD = "</w>"
 NEVER = 1 << 60
 #: Words whose encodings a worker keeps, and arcs that it keeps; beyond that the tables start anew.
-KEPT_WORDS = 100_000
+KEPT_WORDS = 200_000
 KEPT_ARCS = 500_000
 
 # The characters of the White_Space property.
@@ -150,20 +150,21 @@ class WordTable(dict):
         self.older: dict[str, bytes] = {}  # the table before this one: what is still in use comes back from it
 
     def __missing__(self, piece: str) -> bytes:
+        packed = self.older.get(piece)
+        if packed is None:
+            words = [piece] if piece.isascii() and piece.isalpha() else WORD_PATTERN.findall(piece)
+            if len(words) == 1:
+                plain = piece.isascii() and piece.isprintable()
+                symbols = piece if plain else "".join([self.symbols[b] for b in piece.encode()])
+                packed = array("i", self.automaton.encode(symbols)).tobytes()
+            else:  # a word is the same piece with and without what stands beside it
+                packed = b"".join([self[word] for word in words])
         if len(self) >= KEPT_WORDS:
             self.older = dict(self)
             self.clear()
-        packed = self.older.get(piece)
-        if packed is None:
-            ids: list[int] = []
-            for word in WORD_PATTERN.findall(piece):
-                plain = word.isascii() and word.isprintable()
-                ids += self.automaton.encode(word if plain else "".join([self.symbols[b] for b in word.encode()]))
-            packed = array("i", ids).tobytes()
         self[piece] = packed
         return packed
 
-
     def forget(self) -> None:
         """Give up what was learnt from texts."""
         self.clear()
@@ -189,7 +190,9 @@ class Tokenizer:
         self.table = WordTable(MergeAutomaton(model["vocab"], merges))
         self.special = {t["content"]: np.array([t["id"]], np.int32).tobytes() for t in spec["added_tokens"]}
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.labels = {token: label for token, label in enumerate(labels_by_id(source)) if label}
+        by_id = labels_by_id(source)
+        self.labels = {token: label for token, label in enumerate(by_id) if label}
+        self.by_id = pa.array(by_id, pa.string())
 
     def packed(self, text: str) -> bytes:
         """The ids of a text as packed 32-bit numbers."""
@@ -229,6 +232,18 @@ def _read(path: str) -> str:
         return file.read()
 
 
+def _encoded(tokenizer: Tokenizer, texts: list[str]) -> pa.ListArray:
+    packed = [tokenizer.packed(t) for t in texts]
+    offsets = np.zeros(len(packed) + 1, np.int32)
+    np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+
+
+def _decoded(rows: pa.ListArray, labels: pa.Array) -> pa.Array:
+    lists = pa.ListArray.from_arrays(rows.offsets, labels.take(rows.values))
+    return pc.if_else(pc.is_valid(rows), pc.binary_join(lists, " "), "")
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Adds the ids of each whole text as an array of int; ``path`` is the vocabulary's file on the driver."""
     docs = docs.drop(out)
@@ -239,12 +254,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
         tokenizer = _tokenizer(source.value)
         try:
             for batch, texts in text_batches(batches, text):
-                packed = [tokenizer.packed(t) for t in texts]
-                offsets = np.zeros(len(packed) + 1, np.int32)
-                np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
-                values = pa.array(np.frombuffer(b"".join(packed), np.int32))
-                ids = pa.ListArray.from_arrays(pa.array(offsets), values)
-                yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, out])
+                yield pa.RecordBatch.from_arrays([*batch.columns, _encoded(tokenizer, texts)], names=[*batch.schema.names, out])
         finally:
             tokenizer.table.forget()
 
@@ -260,9 +270,31 @@ def decode(frame: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels = pa.array(known.value, pa.string())
         for batch in batches:
-            rows = batch.column(ids)
-            lists = pa.ListArray.from_arrays(rows.offsets, labels.take(rows.values))
-            texts = pc.if_else(pc.is_valid(rows), pc.binary_join(lists, " "), "")
+            texts = _decoded(batch.column(ids), labels)
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, out])
 
     return frame.mapInArrow(run, schema)
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """The ids of each whole text, and the text they decode to, in place of the text: ``encode`` and ``decode`` in one stage.
+
+    A task so has one Python worker in place of two, and neither the text nor the ids travel a second time.
+    """
+    docs = docs.drop(*{ids, decoded} - {text})
+    kept = [f for f in docs.schema.fields if f.name != text]
+    source = docs.sparkSession.sparkContext.broadcast(_read(path))
+    made = [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False), T.StructField(decoded, T.StringType(), False)]
+    schema = T.StructType([*kept, *made])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = _tokenizer(source.value)
+        try:
+            for batch, texts in text_batches(batches, text):
+                coded = _encoded(tokenizer, texts)
+                columns = [*(batch.column(f.name) for f in kept), coded, _decoded(coded, tokenizer.by_id)]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        finally:
+            tokenizer.table.forget()
+
+    return docs.mapInArrow(run, schema)

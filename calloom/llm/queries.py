@@ -84,11 +84,12 @@ def op7_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_digests(docs: DataFrame) -> DataFrame:
     """Ids and decoded texts of documents, as digests; other columns stay."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    coded = bpe_automaton.encode(docs, path).drop("text")
-    coded = coded.withColumn("n_tokens", F.size("ids").cast("long"))
-    coded = coded.withColumn("ids_sha256", F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256))
-    decoded = bpe_automaton.decode(coded, path).drop("ids")
-    return decoded.withColumn("decoded_sha256", F.sha2(F.col("decoded"), 256)).drop("decoded")
+    coded = bpe_automaton.round_trip(docs, path)
+    return coded.withColumns({
+        "n_tokens": F.size("ids").cast("long"),
+        "ids_sha256": F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256),
+        "decoded_sha256": F.sha2(F.col("decoded"), 256),
+    }).drop("ids", "decoded")
 
 
 def op8_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from calloom.llm import bloom_lm, bpe_automaton, common, langid, token_counts, toxicity
+from calloom.llm.queries import token_digests
 
 from tests.llm.conftest import HARD, LONG
 
@@ -60,6 +61,27 @@ def test_encode_and_decode_hard_cases(hard, none, word_vocabulary):
     assert bpe_automaton.encode(none, word_vocabulary).count() == 0
 
 
+def test_a_word_is_encoded_once_whatever_stands_beside_it(word_vocabulary, monkeypatch):
+    own, library = bpe_automaton.Tokenizer(open(word_vocabulary).read()), Tokenizer.from_file(word_vocabulary)
+    encoded, encode = [], own.table.automaton.encode
+    monkeypatch.setattr(own.table.automaton, "encode", lambda word: encoded.append(word) or encode(word))
+    text = "wordling, (wordling) wordling's wordling!"
+    assert np.frombuffer(own.packed(text), np.int32).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert encoded.count("wordling") == 1
+
+
+def test_round_trip_is_one_python_stage(spark, hard, none, word_vocabulary):
+    library = Tokenizer.from_file(word_vocabulary)
+    rows = bpe_automaton.round_trip(hard.withColumn("own_text", F.col("text")), word_vocabulary).collect()
+    assert len(rows) == len(HARD)
+    for row in rows:
+        ids = library.encode(row.own_text or "", add_special_tokens=False).ids
+        assert row.ids == ids and row.decoded == library.decode(ids, skip_special_tokens=False) and row.score == "own"
+    assert bpe_automaton.round_trip(none, word_vocabulary).count() == 0
+    plan = token_digests(hard)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1, plan
+
+
 # --- token counts ------------------------------------------------------------------------------------------------------
 
 
