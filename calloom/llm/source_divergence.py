@@ -28,7 +28,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from calloom.session import stage
 
-SHARD_BYTES = 1 << 24
+#: Bytes of text in a shard, whose pointers and their keys take some twenty times that; rows of a batch of counts.
+SHARD_BYTES, BATCH_ROWS = 1 << 22, 1 << 16
 SCALE = 1_000_000_000
 #: Bytes that end a word: all of ASCII but its letters.
 BREAKS = np.array([i < 128 and not chr(i).isalpha() for i in range(256)])
@@ -72,8 +73,8 @@ def pointer_sort(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tup
     return order, np.cumsum(np.concatenate([[False], slices[1:] != slices[:-1]])) if len(slices) else slices
 
 
-def _counted(texts: list[bytes], groups: list[tuple[str, str]]) -> pa.RecordBatch:
-    """(lang, source, term, n, df) of a shard."""
+def _counted(texts: list[bytes], groups: list[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, term, n, df) of a shard, in batches."""
     by_group = sorted(range(len(texts)), key=groups.__getitem__)
     names = sorted(set(groups))
     numbers = {g: i for i, g in enumerate(names)}
@@ -92,13 +93,16 @@ def _counted(texts: list[bytes], groups: list[tuple[str, str]]) -> pa.RecordBatc
     n = np.diff(np.append(heads, len(order)))
     df = np.add.reduceat(other.astype(np.int64), heads) if len(heads) else n
     raw, first = data.tobytes(), order[heads]
-    terms = [raw[a:b].decode() for a, b in zip(starts[first].tolist(), stops[first].tolist())]
     at = group[heads]
-    langs, sources = (pa.array([g[i] for g in names], pa.string()).take(pa.array(at)) for i in (0, 1))
-    return pa.RecordBatch.from_arrays(
-        [langs, sources, pa.array(terms, pa.string()), pa.array(n, pa.int64()), pa.array(df, pa.int64())],
-        names=["lang", "source", "term", "n", "df"],
-    )
+    langs, sources = (pa.array([g[i] for g in names], pa.string()) for i in (0, 1))
+    for i in range(0, len(heads), BATCH_ROWS):
+        own = slice(i, i + BATCH_ROWS)
+        terms = [raw[a:b].decode() for a, b in zip(starts[first[own]].tolist(), stops[first[own]].tolist())]
+        where = pa.array(at[own])
+        yield pa.RecordBatch.from_arrays(
+            [langs.take(where), sources.take(where), pa.array(terms, pa.string()), pa.array(n[own], pa.int64()), pa.array(df[own], pa.int64())],
+            names=["lang", "source", "term", "n", "df"],
+        )
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -112,10 +116,10 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 texts.append(text), groups.append((lang, source))
                 size += len(text)
                 if size >= SHARD_BYTES:
-                    yield _counted(texts, groups)
+                    yield from _counted(texts, groups)
                     texts, groups, size = [], [], 0
         if texts:
-            yield _counted(texts, groups)
+            yield from _counted(texts, groups)
 
     plain = docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("text"), "lang", "source")
     counts = plain.mapInArrow(run, "lang string, source string, term string, n long, df long")

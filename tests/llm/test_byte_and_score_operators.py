@@ -1,6 +1,7 @@
 """Byte-level encoding, source divergence and hard negatives against libraries and brute force, with the defined hard cases."""
 
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -145,6 +146,20 @@ def test_audit_hard_cases(hard, none):
     assert audited(none) == []
 
 
+def test_a_shard_takes_little_memory():
+    size = source_divergence.SHARD_BYTES
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=5)).encode() for _ in range(size // 6)]
+    texts = [b" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
+    groups = [("en", f"s{i % 3}") for i in range(len(texts))]
+    tracemalloc.start()
+    batches = [(b.num_rows, sum(b.column("n").to_pylist())) for b in source_divergence._counted(texts, groups)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(n for _, n in batches) == len(words) and max(rows for rows, _ in batches) <= 1 << 16
+    assert peak < 128 << 20, peak
+
+
 def test_pointers_sort_by_words_and_keep_the_order_of_equal_ones():
     random.seed(8)
     words = ["".join(random.choices("ab", k=random.randint(1, 40))).encode() for _ in range(400)] + [b"abababab", b"abababab" * 2] * 5
