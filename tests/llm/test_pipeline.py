@@ -67,6 +67,11 @@ def test_digests(stages, word_vocabulary):
         assert row.decoded_sha256 == sha(library.decode(ids, skip_special_tokens=False))
 
 
+def test_a_task_of_the_last_stage_has_one_python_worker(spark, hard):
+    plan = corpus_pipeline.encode_and_decode(spark, hard, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1, plan
+
+
 def test_run_equals_the_stages(spark, stages):
     got = corpus_pipeline.run(spark, SF)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, stages["encode_and_decode"][1].collect()))
