@@ -179,26 +179,46 @@ class BlockMaxIndex:
     """Postings by term in blocks of examples, with the largest weight of each block."""
 
     def __init__(self, keys: np.ndarray, labels: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        self.keys, self.labels, self.n_blocks = keys, labels, -(-len(keys) // BLOCK)
-        examples = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(terms) for terms, _ in vectors])
+        spans = np.cumsum([0, *(len(terms) for terms, _ in vectors)])
         terms = np.concatenate([np.zeros(0, np.int64), *(terms for terms, _ in vectors)])
-        order = np.argsort(terms, kind="stable")
-        terms, self.examples = terms[order], examples[order]
-        self.weights = np.concatenate([np.zeros(0), *(weights for _, weights in vectors)])[order]
+        weights = np.concatenate([np.zeros(0), *(weights for _, weights in vectors)])
+        self._fill(keys, labels, spans, terms, weights, n_terms)
+
+    @classmethod
+    def laid_out(
+        cls, keys: np.ndarray, labels: np.ndarray, spans: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int
+    ) -> BlockMaxIndex:
+        """Of vectors that lie end to end, each from one span to the next; no vector is copied by itself."""
+        made = cls.__new__(cls)
+        made._fill(keys, labels, spans, terms, weights, n_terms)
+        return made
+
+    def _fill(self, keys, labels, spans, terms, weights, n_terms) -> None:
+        self.keys, self.labels, self.n_blocks = keys, labels, -(-len(keys) // BLOCK)
+        examples = np.repeat(np.arange(len(keys), dtype=np.int32), np.diff(spans))
         often = np.bincount(terms, minlength=n_terms)
         frequent = np.argsort(-often, kind="stable")[:DENSE]
-        self.rows = np.full(n_terms, -1)
+        self.rows = np.full(n_terms, -1, np.int32)
         self.rows[frequent] = np.arange(len(frequent))
         row = self.rows[terms]
+        high, low = np.flatnonzero(row >= 0), np.flatnonzero(row < 0)
         self.dense = np.zeros((len(frequent), len(keys)))
-        self.dense[row[row >= 0], self.examples[row >= 0]] = self.weights[row >= 0]
+        self.dense[row[high], examples[high]] = weights[high]
         self.single = self.dense.astype(np.float32)
-        terms, self.examples, self.weights = terms[row < 0], self.examples[row < 0], self.weights[row < 0]
+        del row, high
+        terms, examples, weights = terms[low], examples[low], weights[low]
+        del low
+        order = np.argsort(terms, kind="stable")
+        terms, self.examples, self.weights = terms[order], examples[order], weights[order]
+        del order, examples, weights
         blocks = self.examples // BLOCK
-        new = np.flatnonzero((np.diff(terms, prepend=-1) != 0) | (np.diff(blocks, prepend=-1) != 0))
-        self.blocks, self.starts = blocks[new], np.r_[new, len(terms)]
+        new = np.ones(len(terms), bool)
+        new[1:] = (terms[1:] != terms[:-1]) | (blocks[1:] != blocks[:-1])
+        new = np.flatnonzero(new)
         self.maxima = np.maximum.reduceat(self.weights, new) if len(new) else self.weights
-        self.entries = np.searchsorted(terms[new], np.arange(n_terms + 1))
+        self.entries = np.searchsorted(terms[new], np.arange(n_terms + 1, dtype=terms.dtype))
+        place = np.int32 if len(terms) < 1 << 31 else np.int64
+        self.blocks, self.starts = blocks[new], np.append(new, len(terms)).astype(place)
 
     def frequent(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """What the most frequent terms add to each query's cosine with each example, in single precision."""
@@ -256,12 +276,12 @@ class Model:
 
     def __init__(self, share: float):
         self.share, self.made, self.frequencies, self.terms = share, None, None, Terms({})
-        self.numbers, self.packed = {}, []
+        self.named, self.packed = {}, []
 
     def known_terms(self, leaning: dict[str, float], n_docs: int, indexed: pa.Table, frequent: tuple[list, list]) -> None:
         """Number the terms: those indexed first, then the frequent words that no example has."""
         self.terms, self.n_docs, self.n_terms = Terms(leaning), n_docs, indexed.num_rows
-        self.numbers = {term: i for i, term in enumerate(indexed.column("term").to_pylist())}
+        self.named = {term: i for i, term in enumerate(indexed.column("term").to_pylist())}
         counts = indexed.column("c").to_pylist()
         for term, c in zip(*frequent):
             if term not in self.numbers:
@@ -270,6 +290,13 @@ class Model:
         factors = np.array([leaning.get(term, 1.0) for term in self.numbers])
         self.idf = factors * np.log1p(n_docs / np.array(counts, np.float64))
 
+    @property
+    def numbers(self) -> dict[str, int]:
+        """Of terms; they travel as one text, and only workers that read texts number them."""
+        if isinstance(self.named, str):
+            self.named = {term: i for i, term in enumerate(self.named.split("\n"))} if self.named else {}
+        return self.named
+
     def counts(self, text: str) -> tuple[list[int], list[int]]:
         """Numbers of a text's terms, all of them known, and how often it holds them."""
         held = self.terms.of(text)
@@ -290,23 +317,23 @@ class Model:
         """Keep the examples' keys, labels, first terms, terms, and how often they hold them; only these travel to workers."""
         self.packed = [(zlib.compress(part.tobytes(), 1), part.dtype) for part in parts]
 
+    def part(self, i: int) -> np.ndarray:
+        """One of what ``pack`` keeps."""
+        return np.frombuffer(zlib.decompress(self.packed[i][0]), self.packed[i][1])
+
     @property
     def index(self) -> BlockMaxIndex:
         """Made where it is first asked for, so not on the driver."""
         if self.made is None:
-            keys, labels, spans, terms, times = (np.frombuffer(zlib.decompress(part), kind) for part, kind in self.packed)
-            weights = (1 + np.log(times)) * self.idf[terms]
-            vectors = [(terms[a:b].astype(np.int64), weights[a:b]) for a, b in zip(spans[:-1], spans[1:])]
-            vectors = [(t, w / (np.linalg.norm(w) or 1.0)) for t, w in vectors]
-            self.made = BlockMaxIndex(keys, labels, vectors, self.n_terms)
+            spans, terms = self.part(2), self.part(3)
+            weights = (1 + np.log(self.part(4))) * self.idf[terms]
+            for a, b in zip(spans[:-1].tolist(), spans[1:].tolist()):
+                weights[a:b] /= np.linalg.norm(weights[a:b]) or 1.0
+            self.made = BlockMaxIndex.laid_out(self.part(0), self.part(1), spans, terms, weights, self.n_terms)
         return self.made
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"made": None, "frequencies": None, "numbers": "\n".join(self.numbers)}
-
-    def __setstate__(self, state: dict) -> None:
-        numbers = state["numbers"].split("\n") if state["numbers"] else []
-        self.__dict__ |= state | {"numbers": {term: i for i, term in enumerate(numbers)}}
+        return self.__dict__ | {"made": None, "frequencies": None, "named": "\n".join(self.numbers)}
 
     def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], without: list[int] | None = None) -> list[tuple]:
         """For each vector the nearest examples, their cosines with these terms alone, and the square of the terms' length."""
@@ -395,13 +422,15 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each example's vote by all others."""
         own = fitted.value
-        for batch, texts in text_batches(batches, "_text"):
+        spans, terms, times, own_labels = own.part(2), own.part(3), own.part(4), own.part(1)
+        for batch in batches:
             at = [places[h] for h in batch.column("_hash").to_pylist()]
-            near = own.nearest([own.vector(t)[:2] for t in texts], at)
-            made = [own.vote(own.index.labels[found], cosines) for found, cosines, _ in near]
+            held = [slice(spans[i], spans[i + 1]) for i in at]
+            near = own.nearest([(terms[h].astype(np.int64), (1 + np.log(times[h])) * own.idf[terms[h]]) for h in held], at)
+            made = [own.vote(own_labels[found], cosines) for found, cosines, _ in near]
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(made, pa.float64())], names=["i", "vote"])
 
-    found = plain.mapInArrow(votes, "i long, vote double").toArrow()
+    found = examples.select("_hash").mapInArrow(votes, "i long, vote double").toArrow()
     fitted.destroy()
     model.calibrate(kinds[found.column("i").to_numpy()], found.column("vote").to_numpy())
     return model
@@ -445,14 +474,15 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
+        keys, labels = fitted.part(0), fitted.part(1)
         for batch in batches:
             found, near, cosines = [], [], []
             read = zip(*(batch.column(c).to_pylist() for c in ("__examples", "__found", "__own", "__square")))
             for examples, values, part, square in read:
                 at = np.array(examples, np.int64)
                 values = np.minimum(np.round(np.array(values) * math.sqrt(part / (square or 1.0)), 12), 1.0)
-                found.append(fitted.judged(fitted.index.labels[at], values))
-                near.append(fitted.index.keys[at]), cosines.append(values)
+                found.append(fitted.judged(labels[at], values))
+                near.append(keys[at]), cosines.append(values)
             made = [
                 pa.array(found, pa.float64()), pa.array([int(f >= 0.5) for f in found], pa.int32()),
                 pa.array(near, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64())),

@@ -1,7 +1,9 @@
 """Encoding, counting, scoring, language and toxicity against brute force, with the defined hard cases."""
 
 import math
+import pickle
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -259,6 +261,28 @@ def test_nearest_examples_are_exact():
         assert [round(cosines[i], 10) for i in found] == [round(cosines[i], 10) for i in order]
 
 
+def test_votes_need_neither_the_words_nor_copies_of_the_vectors():
+    random, n, size, n_terms = np.random.default_rng(6), 4000, 100, 50_000
+    model = toxicity.Model(0.1)
+    model.named = {f"term{i}": i for i in range(n_terms)}
+    model.n_docs, model.n_terms, model.idf = 9000, n_terms, random.random(n_terms) + 1
+    terms = np.concatenate([random.choice(n_terms, size, replace=False) for _ in range(n)]).astype(np.int32)
+    spans, times = np.arange(n + 1, dtype=np.int32) * size, random.integers(1, 5, n * size).astype(np.int32)
+    model.pack(np.arange(n), np.zeros(n, np.int64), spans, terms, times)
+    own = pickle.loads(pickle.dumps(model))
+    tracemalloc.start()
+    index = own.index
+    peak = tracemalloc.get_traced_memory()[1] - index.dense.nbytes - index.single.nbytes
+    tracemalloc.stop()
+    assert isinstance(own.named, str) and peak < 70 * n * size, peak / n / size
+    weights = (1 + np.log(times)) * model.idf[terms]
+    vectors = [(terms[a : a + size].astype(np.int64), w / np.linalg.norm(w)) for a in range(0, n * size, size) for w in [weights[a : a + size]]]
+    plain = toxicity.BlockMaxIndex(np.arange(n), np.zeros(n, np.int64), vectors, n_terms)
+    for name in ("examples", "weights", "blocks", "starts", "maxima", "entries", "dense", "rows"):
+        assert np.array_equal(getattr(index, name), getattr(plain, name)), name
+    assert own.numbers == model.numbers
+
+
 def test_toxicity_hard_cases(spark, hard, none):
     labels = lambda rows: spark.createDataFrame(rows, "doc_id long, toxic int")
     for given, share in (([], 0.0), ([(4, 0), (5, 0)], 0.0), ([(4, 1), (5, None), (None, None)], 1.0)):
