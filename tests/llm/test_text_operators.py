@@ -226,6 +226,65 @@ def test_filter_left_in_segments_scores_the_same(spark, docs, hard, none, monkey
     assert bloom_lm.score(none, F.lit(True)).count() == 0
 
 
+def test_parts_count_and_probe_in_one_shuffle(spark, docs, hard, monkeypatch):
+    """Scores of texts that carry their own counts are those of a model made apart; keys are neither staged nor sent whole."""
+    training = common.crc_bucket(F.col("doc_id"), 7) != 2
+    columns = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    monkeypatch.setattr(bloom_lm, "SEGMENT_TOKENS", 1 << 10)
+    for given, tokens in ((docs.select("doc_id", "text").repartition(3), 1 << 8), (docs.select("doc_id", "text"), 1 << 21), (hard, 1)):
+        monkeypatch.setattr(bloom_lm, "PART_TOKENS", tokens)
+        rows = [
+            sorted((str(r.doc_id), *map(float, r[1:])) for r in made.select(columns).collect())
+            for made in (bloom_lm.score(given, training), bloom_lm.Model(given.filter(training)).score(given))
+        ]
+        assert [r[:4] for r in rows[0]] == [r[:4] for r in rows[1]]
+        assert np.allclose([r[4:] for r in rows[0]], [r[4:] for r in rows[1]], atol=1e-9)
+    monkeypatch.setattr(bloom_lm, "PART_TOKENS", 1 << 21)
+    staged = []
+    monkeypatch.setattr(bloom_lm, "stage", lambda df: staged.append(df.persist()) or staged[-1])
+    total = bloom_lm.score(docs.select("doc_id", "text"), training).agg(F.sum("n_tokens")).first()[0]
+    texts = next(df for df in staged if "__words" in df.columns)
+    packed = sum(F.octet_length(c) for c in ("__words", "__names", "__flags"))
+    assert "__keys" not in texts.columns and texts.agg(F.sum(packed)).first()[0] < 6 * total
+    for df in staged:
+        df.unpersist()
+
+
+def test_scores_equal_brute_force(spark):
+    random.seed(11)
+    texts = [" ".join(random.choices([f"w{i}" for i in range(60)], range(1, 61), k=i % 12)) for i in range(300)]
+    docs = spark.createDataFrame([*enumerate(texts), (300, "unseen w1 w2")], "doc_id long, text string").repartition(4)
+    words, pairs = Counter(), Counter()
+    sequence = lambda text: ["\n", *text.split(), "\n"]
+    for i, text in enumerate(texts):
+        if i % 5:
+            own = sequence(text)
+            words.update(own[1:])
+            pairs.update(zip(own, own[1:]))
+    read = lambda c: 2.0 ** (c.bit_length() - 0.5) if c > 1 else float(c)
+    total = sum(map(read, words.values())) + len(words) + 1
+    equal = 0
+    rows = bloom_lm.score(docs.withColumn("own", F.col("text")), F.expr("doc_id % 5 > 0 and doc_id < 300")).collect()
+    for row in rows:
+        own, expected = sequence(row.own), 0.0
+        for v, w in zip(own, own[1:]):
+            mix = bloom_lm.MIX if words[v] else 0.0
+            expected += math.log10(mix * min(1.0, read(pairs[v, w]) / max(read(words[v]), 1)) + (1 - mix) * (read(words[w]) + 1) / total)
+        equal += math.isclose(row.score, expected, rel_tol=1e-9)
+    assert len(rows) == 301 and equal > 0.9 * len(rows)
+
+
+def test_numbers_are_squeezed_and_read_back():
+    for values in ([], [0, 0], [1, 255, 256, 3], [2**64 - 1, 0], list(range(5000))):
+        values = np.array(values, np.uint64)
+        assert (bloom_lm.unsqueezed(bloom_lm.squeezed(values)) == values).all()
+    layout = bloom_lm.Filter(16)
+    keys = np.unique(layout.kept(np.random.default_rng(3).integers(0, 2**64, 50_000, np.uint64)))
+    rows = [row for batch in bloom_lm._rows(keys, np.ones(len(keys), np.int64), 7, layout) for row in batch.to_pylist()]
+    assert (np.concatenate([bloom_lm._keys(row["keys"], layout) for row in rows]) == keys).all() and len(rows) == 16
+    assert sum(len(row["keys"]) + len(row["counts"]) for row in rows) < 4.5 * len(keys)
+
+
 # --- toxicity ----------------------------------------------------------------------------------------------------------
 
 
