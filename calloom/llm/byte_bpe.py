@@ -3,7 +3,8 @@
 1. Executors split texts into words by the vocabulary's pattern and count them; Spark adds the counts up.
 2. The ``FREQUENT`` most frequent words are encoded once each, by the fold; their ids are broadcast, a table of fixed size.
 3. Documents are split again. Frequent words take their ids from that table; a document's other distinct words go through
-   the same fold where the document is, so nothing of a document is shuffled and no word is a hot key.
+   the same fold where the document is, so nothing of a document is shuffled and no word is a hot key. Their ids are put
+   between the runs of ids around them.
 
 The fold (``encoded``) is plain column code. A word is its bytes, each written as the Latin-1 character of its value and
 set between two marks. A round looks up the ranks of all neighbouring pairs in a literal map, takes the least, and merges
@@ -146,9 +147,10 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     # as Arrow columns: no object for each word on the driver
     frequent = hot_rows(totals, "piece", "total", FREQUENT).select("piece", code).toArrow().combine_chunks()
     known = docs.sparkSession.sparkContext.broadcast((frequent.column(0), frequent.column(1)))
-    part, rest = fresh(docs, "part"), fresh(docs, "rest")
+    runs, places, rest = fresh(docs, "runs"), fresh(docs, "places"), fresh(docs, "rest")
     schema = T.StructType([
-        *docs.schema.fields, T.StructField(part, T.ArrayType(T.IntegerType())), T.StructField(rest, T.ArrayType(T.StringType())),
+        *docs.schema.fields, T.StructField(runs, T.ArrayType(T.ArrayType(T.IntegerType()))),
+        T.StructField(places, T.ArrayType(T.IntegerType())), T.StructField(rest, T.ArrayType(T.StringType())),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,22 +159,27 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
         sizes = np.array([c.count(" ") + 1 for c in codes], np.int64)
         starts, flat = np.cumsum(sizes) - sizes, np.array(" ".join(codes).split(), np.int32)
         for batch, texts in text_batches(batches, text):
-            parts, ends, others, other_ends = [], [0], [], [0]
+            parts, ends, doc_ends, own_places, place_ends, others, other_ends = [], [np.zeros(1, np.int64)], [0], [], [0], [], [0]
+            size = 0
             for t in texts:
                 found, own = split(t), {}
                 # a frequent word by its number, another as -1, -2, .. in the order of the document
                 at = np.array([number[w] if w in number else -1 - own.setdefault(w, len(own)) for w in found], np.int64)
-                ids, ends_at = _spread(at, starts, sizes, flat)
+                ids, breaks = _spread(at, starts, sizes, flat)
                 parts.append(ids)
-                ends.append(ends[-1] + ends_at)
+                ends.append(size + np.append(breaks, len(ids)))
+                own_places.append(-1 - at[at < 0])
+                size += len(ids)
+                doc_ends.append(doc_ends[-1] + len(breaks) + 1)
+                place_ends.append(place_ends[-1] + len(breaks))
                 others += [w.encode().decode("latin-1") for w in own]
                 other_ends.append(len(others))
-            values = pa.array(np.concatenate(parts) if parts else np.empty(0, np.int32), pa.int32())
+            ids = pa.array(np.concatenate([np.zeros(0, np.int32), *parts]), pa.int32())
+            between = pa.array(np.concatenate([np.zeros(0, np.int64), *own_places]), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns,
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values),
-                    pa.ListArray.from_arrays(pa.array(other_ends, pa.int32()), pa.array(others, pa.string())),
+                    *batch.columns, _lists(doc_ends, _lists(np.concatenate(ends), ids)), _lists(place_ends, between),
+                    _lists(other_ends, pa.array(others, pa.string())),
                 ],
                 names=schema.names,
             )
@@ -180,25 +187,24 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     rows = docs.mapInArrow(run, schema)
     done = _let(
         encoded(F.col(rest), ranks),
-        lambda own: F.flatten(F.transform(part, lambda code: F.when(code < 0, F.get(own, -1 - code)).otherwise(F.array(code)))),
+        lambda own: F.flatten(
+            F.zip_with(runs, places, lambda run, place: F.when(place.isNull(), run).otherwise(F.concat(run, F.get(own, place))))
+        ),
     )
-    return rows.withColumn("ids", done).drop(part, rest)
+    return rows.withColumn("ids", done).drop(runs, places, rest)
 
 
-def _spread(at: np.ndarray, starts: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, int]:
-    """The ids of words by number, one after another; negative numbers stay as they are."""
-    if not len(at):
-        return np.empty(0, np.int32), 0
-    if not len(sizes):
-        return at.astype(np.int32), len(at)
-    plain = at >= 0
-    n = np.where(plain, sizes[np.maximum(at, 0)], 1)
-    first = np.cumsum(n) - n
-    inside = np.arange(n.sum()) - np.repeat(first, n)
-    ids = np.repeat(at, n)
-    wanted = np.repeat(plain, n)
-    ids[wanted] = flat[(np.repeat(np.where(plain, starts[np.maximum(at, 0)], 0), n) + inside)[wanted]]
-    return ids.astype(np.int32), len(ids)
+def _lists(ends: list[int] | np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+
+
+def _spread(at: np.ndarray, starts: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of words by number, one after another, and where among them each negative number stands."""
+    own, words = np.flatnonzero(at < 0), at[at >= 0]
+    n = sizes[words]
+    ends = np.cumsum(n)
+    ids = flat[np.arange(n.sum()) + np.repeat(starts[words] - ends + n, n)]
+    return ids, np.append(0, ends)[own - np.arange(len(own))]
 
 
 def decode(coded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -208,9 +214,7 @@ def decode(coded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     for token, rank in ranks.items():
         pieces[rank] = token.decode("latin-1")
     table = F.from_json(F.lit(json.dumps(pieces, separators=(",", ":"))), "array<string>")
-    unknown = F.exists(ids, lambda i: i.isNull() | (i < 0) | (i >= len(pieces)))
-    text = _let(table, lambda t: F.array_join(F.transform(ids, lambda i: F.get(t, i)), ""))
-    return coded.withColumn(
-        "decoded",
-        F.when(F.col(ids).isNull(), F.lit(b"")).when(~unknown, F.encode(text, "ISO-8859-1")),
-    )
+    # what is no id becomes a mark that no piece has
+    text = _let(table, lambda t: F.array_join(F.transform(ids, lambda i: F.get(t, i)), "", OPEN))
+    known = _let(text, lambda whole: F.when(~F.contains(whole, F.lit(OPEN)), F.encode(whole, "ISO-8859-1")))
+    return coded.withColumn("decoded", F.when(F.col(ids).isNull(), F.lit(b"")).otherwise(known))

@@ -62,6 +62,20 @@ def test_the_fold_equals_the_library_on_every_entry_and_on_long_words(spark, ran
     assert row.own == [[ranks[t.encode("latin-1")]] for t in some]
 
 
+def test_frequent_words_go_in_runs_between_the_others(spark, ranks_path):
+    starts, sizes, flat = np.array([0, 2]), np.array([2, 1]), np.array([5, 6, 7], np.int32)
+    for at, ids, breaks in (
+        ([], [], []), ([-1], [], [0]), ([0, 1], [5, 6, 7], []), ([-1, 0, -2, -1, 1, -1], [5, 6, 7], [0, 2, 2, 3]),
+    ):
+        found = byte_bpe._spread(np.array(at, np.int64), starts, sizes, flat)
+        assert [f.tolist() for f in found] == [ids, breaks]
+    none = np.zeros(0, np.int64)
+    assert [f.tolist() for f in byte_bpe._spread(np.array([-1, -2]), none, none, np.zeros(0, np.int32))] == [[], [0, 0]]
+    # no predicate is asked for each id
+    odd = spark.createDataFrame([([0, None],)], "ids array<int>")
+    assert "exists(" not in byte_bpe.decode(odd, ranks_path)._jdf.queryExecution().analyzed().toString()
+
+
 def test_equal_pairs_merge_from_the_left(spark):
     ranks = {bytes([c]): i for i, c in enumerate(b"abc")} | {b"aa": 3, b"aab": 4, b"bc": 5}
     frame = spark.createDataFrame([(["aaa", "aaab", "aabc", ""],)], "words array<string>")
