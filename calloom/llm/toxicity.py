@@ -8,13 +8,16 @@ some are rare only in such number. Of the beginnings those are terms that the sa
 chi-squared more; no word is left out. Document frequencies are counted over all documents given. An example is its
 weighted TF-IDF vector over all its terms, of length one.
 
-The inverted index holds, by term, the examples' weights in blocks of ``BLOCK`` examples and the largest weight of each
-block. A query bounds each block's best cosine by those maxima, reads the ``FIRST`` blocks of the highest bounds, and then
-those that can still reach the k-th best found. What the ``DENSE`` most frequent terms add to the bounds and sums comes from
-one product of a matrix in single precision for a batch of queries; all that can be among the best within its error is
-summed again in double precision: the ``NEIGHBOURS`` nearest are exact. They vote with the square of their
-cosine, against a prior of fixed weight; a logistic curve fitted to the votes that examples get from all others, with
-classes weighed as in the labels, makes that a calibrated score.
+The inverted index holds, by term, the examples' weights. What the ``DENSE`` most frequent terms add to a cosine comes from
+one product of a matrix in single precision for a batch of queries, and terms of up to ``SHORT`` examples are read whole.
+Of the terms between, which have most of the postings, the index keeps the largest weight in each block of ``BLOCK``
+examples. What a query has summed so far is a floor for its k-th best cosine; with the maxima it bounds each block's best
+cosine, and the query reads the postings of the blocks that can reach the floor. All that can be among the best within the
+error of single precision is summed again over its whole vector in double precision: the ``NEIGHBOURS`` nearest are exact.
+Examples stand in the order of the direction in which the weights of frequent terms differ most, as those of languages
+do, so that a block holds like texts. The nearest vote with the square of their cosine, against a prior of fixed weight; a
+logistic curve fitted to the votes that examples get from all others, with classes weighed as in the labels, makes that a
+calibrated score.
 
 The index over the sample's terms and the frequencies of the most frequent words are broadcast. All other words of a
 text touch only the length of its vector: their frequencies are joined by word and summed per document.
@@ -33,6 +36,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,9 +52,10 @@ MAX_LEANING = 4096
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: Times that a beginning has to occur for its terms.
 TIMES = (1, 2, 3)
-BLOCK = 64
-#: Blocks that a query reads before it asks which others can matter.
-FIRST = 8
+#: Examples in a block, neighbouring ones of which the best makes a floor, and examples of a term that is read whole.
+BLOCK, STRIPE, SHORT = 512, 64, 64
+#: A posting: eight bytes, which are read in one piece.
+POSTING = np.dtype([("example", np.int32), ("weight", np.float32)])
 #: Terms kept as rows of a matrix, the error that single precision can add to a cosine, and queries to a product.
 DENSE, ERROR, BATCH = 256, 2e-5, 64
 NEIGHBOURS = 10
@@ -59,6 +64,16 @@ PRIOR_WEIGHT = 0.5
 KEPT_WORDS, KEPT_COUNTS = 300_000, 300_000
 
 LETTERS = re.compile(r"[^\W\d_]+")
+#: Bytes of lower-case ASCII texts: all but letters become spaces.
+ASCII_LETTERS = bytes(c if chr(c).isalpha() else 32 for c in range(128)) + bytes(128)
+
+
+def letter_words(text: str) -> list[str]:
+    """The runs of letters of a text, in lower case."""
+    text = text.lower()
+    if text.isascii():
+        return text.encode().translate(ASCII_LETTERS).decode().split()
+    return LETTERS.findall(text)
 
 
 def word_bases(word: str) -> list[str]:
@@ -71,13 +86,34 @@ def base_terms(base: str) -> list[tuple[int, str]]:
     return [(n, base + str(n)) for n in TIMES] if base.endswith("-") else [(1, base)]
 
 
-def held_terms(text: str) -> set[str]:
-    """The terms that a text holds."""
-    counts: Counter = Counter()
-    for word, n in Counter(LETTERS.findall(text.lower())).items():
-        for base in word_bases(word):
-            counts[base] += n
-    return {term for base, n in counts.items() for least, term in base_terms(base) if n >= least}
+class HeldTerms:
+    """How many texts hold each term, of all terms that texts can have."""
+
+    def __init__(self):
+        self.bases: dict[str, list[str]] = {}
+        self.words, self.held = Counter(), [Counter() for _ in TIMES]
+
+    def add(self, text: str) -> None:
+        counts: dict[str, int] = {}
+        words = Counter(letter_words(text))
+        for word, n in words.items():
+            bases = self.bases.get(word)
+            if bases is None:
+                if len(self.bases) >= KEPT_WORDS:
+                    self.bases.clear()
+                bases = self.bases[word] = word_bases(word)[1:]
+            for base in bases:
+                counts[base] = counts.get(base, 0) + n
+        self.words.update(words.keys())
+        for least, held in zip(TIMES, self.held):
+            held.update(counts.keys() if least == 1 else [base for base, n in counts.items() if n >= least])
+
+    def totals(self) -> dict[str, int]:
+        """Texts by term."""
+        made = dict(self.words)
+        for n, held in zip(TIMES, self.held):
+            made.update(zip([base + str(n) for base in held], held.values()))
+        return made
 
 
 def sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
@@ -98,11 +134,12 @@ def leaning_terms(examples: DataFrame) -> dict[str, float] | None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches, "_text"):
-            found: tuple[Counter, Counter] = (Counter(), Counter())
+            found = (HeldTerms(), HeldTerms())
             for t, label in zip(texts, batch.column("_label").to_pylist()):
-                found[label].update(held_terms(t))
-            terms = list(found[0] | found[1])
-            clean, toxic = ([counts[term] for term in terms] for counts in found)
+                found[label].add(t)
+            totals = [held.totals() for held in found]
+            terms = list(totals[0] | totals[1])
+            clean, toxic = ([counts.get(term, 0) for term in terms] for counts in totals)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(terms, pa.string()), pa.array(clean, pa.int64()), pa.array(toxic, pa.int64())],
                 names=["term", "clean", "toxic"],
@@ -133,18 +170,20 @@ class Terms:
 
     def of(self, text: str) -> dict[str, int]:
         """All words of a text with their number, and its leaning beginnings, once each."""
-        held = Counter(LETTERS.findall(text.lower()))
-        counts: Counter = Counter()
-        for word, n in held.items():
-            found = self.words.get(word)
+        held, known, levels, counts = Counter(letter_words(text)), self.words, self.levels, {}
+        for word, found in zip(held, list(map(known.get, held))):
             if found is None:
-                if len(self.words) >= KEPT_WORDS:
-                    self.words.clear()
-                found = self.words[word] = tuple(base for base in word_bases(word)[1:] if base in self.levels)
-            for base in found:
-                counts[base] += n
+                if len(known) >= KEPT_WORDS:
+                    known.clear()
+                found = known[word] = tuple([base for n in BEGINNINGS if len(word) > n and (base := word[:n] + "-") in levels])
+            if found:
+                n = held[word]
+                for base in found:
+                    counts[base] = counts.get(base, 0) + n
         for base, n in counts.items():
-            held.update(t for least, t in self.levels[base] if n >= least)
+            for least, term in self.levels[base]:
+                if n >= least:
+                    held[term] = 1
         return held
 
 
@@ -195,6 +234,8 @@ class BlockMaxIndex:
 
     def _fill(self, keys, labels, spans, terms, weights, n_terms) -> None:
         self.keys, self.labels, self.n_blocks = keys, labels, -(-len(keys) // BLOCK)
+        # the whole vectors, one after another, and a query's weights by term while it is asked
+        self.spans, self.terms, self.whole, self.query = spans, terms, weights, np.zeros(n_terms)
         examples = np.repeat(np.arange(len(keys), dtype=np.int32), np.diff(spans))
         often = np.bincount(terms, minlength=n_terms)
         frequent = np.argsort(-often, kind="stable")[:DENSE]
@@ -202,23 +243,47 @@ class BlockMaxIndex:
         self.rows[frequent] = np.arange(len(frequent))
         row = self.rows[terms]
         high, low = np.flatnonzero(row >= 0), np.flatnonzero(row < 0)
-        self.dense = np.zeros((len(frequent), len(keys)))
+        self.dense = np.zeros((len(frequent), len(keys)), np.float32)
         self.dense[row[high], examples[high]] = weights[high]
-        self.single = self.dense.astype(np.float32)
         del row, high
         terms, examples, weights = terms[low], examples[low], weights[low]
         del low
         order = np.argsort(terms, kind="stable")
-        terms, self.examples, self.weights = terms[order], examples[order], weights[order]
+        terms, self.postings = terms[order], np.empty(len(terms), POSTING)
+        self.postings["example"], self.postings["weight"] = examples[order], weights[order]
         del order, examples, weights
-        blocks = self.examples // BLOCK
-        new = np.ones(len(terms), bool)
-        new[1:] = (terms[1:] != terms[:-1]) | (blocks[1:] != blocks[:-1])
-        new = np.flatnonzero(new)
-        self.maxima = np.maximum.reduceat(self.weights, new) if len(new) else self.weights
-        self.entries = np.searchsorted(terms[new], np.arange(n_terms + 1, dtype=terms.dtype))
-        place = np.int32 if len(terms) < 1 << 31 else np.int64
-        self.blocks, self.starts = blocks[new], np.append(new, len(terms)).astype(place)
+        self.entries = np.searchsorted(terms, np.arange(n_terms + 1, dtype=terms.dtype))
+        # terms of many postings: where each block's begin, and the largest weight there
+        sizes = np.diff(self.entries)
+        blocked = np.flatnonzero(sizes > SHORT)
+        self.long = np.full(n_terms, -1, np.int32)
+        self.long[blocked] = np.arange(len(blocked))
+        self.blocks = np.arange(0, len(keys), BLOCK)
+        row = self.long[terms]
+        at = np.flatnonzero(row >= 0)
+        place = row[at].astype(np.int64) * self.n_blocks + self.examples[at] // BLOCK
+        del terms, row
+        counts = np.bincount(place, minlength=len(blocked) * self.n_blocks).reshape(len(blocked), self.n_blocks)
+        self.starts = self.entries[blocked][:, None] + np.cumsum(np.pad(counts, ((0, 0), (1, 0))), axis=1)
+        self.maxima = np.zeros((len(blocked), self.n_blocks), np.float32)
+        new = np.flatnonzero(np.diff(place, prepend=-1))
+        if len(new):
+            self.maxima.flat[place[new]] = np.maximum.reduceat(self.weights[at], new)
+
+    @property
+    def examples(self) -> np.ndarray:
+        """Of the postings."""
+        return self.postings["example"]
+
+    @property
+    def weights(self) -> np.ndarray:
+        """Of the postings."""
+        return self.postings["weight"]
+
+    @property
+    def single(self) -> np.ndarray:
+        """The matrix of the most frequent terms, which is kept in single precision alone."""
+        return self.dense
 
     def frequent(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """What the most frequent terms add to each query's cosine with each example, in single precision."""
@@ -226,7 +291,12 @@ class BlockMaxIndex:
         for query, (terms, weights) in zip(made, queries):
             rows = self.rows[terms]
             query[rows[rows >= 0]] = weights[rows >= 0]
-        return made @ self.single
+        return made @ self.dense
+
+    def _exact(self, examples: np.ndarray) -> np.ndarray:
+        """Cosines of the query with whole examples in double precision."""
+        at, sizes = _ranges(self.spans[examples], self.spans[examples + 1])
+        return np.bincount(np.repeat(np.arange(len(examples)), sizes), self.query[self.terms[at]] * self.whole[at], len(examples))
 
     def nearest(
         self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1, frequent: np.ndarray | None = None
@@ -236,39 +306,41 @@ class BlockMaxIndex:
             return np.zeros(0, np.int64), np.zeros(0)
         if frequent is None:
             frequent = self.frequent([(terms, weights)])[0]
-        rows = self.rows[terms]
-        rows, high = rows[rows >= 0], weights[rows >= 0]
-        terms, weights = terms[self.rows[terms] < 0], weights[self.rows[terms] < 0]
-        entries, sizes = _ranges(self.entries[terms], self.entries[terms + 1])
-        weights, blocks = np.repeat(weights, sizes), self.blocks[entries]
-        bounds = np.bincount(blocks, weights * self.maxima[entries], self.n_blocks)
-        bounds = bounds + np.maximum.reduceat(frequent, np.arange(0, len(self.keys), BLOCK))
-        unread = bounds > 0
-        found, cosines = np.zeros(0, np.int64), np.zeros(0)
-        for last in (False, True):
-            read = unread.copy()
-            if not last and self.n_blocks > FIRST:
-                read &= bounds >= np.partition(bounds, -FIRST)[-FIRST]
-            elif len(found) >= k:
-                read &= bounds >= cosines[k - 1] - ERROR
-            unread &= ~read
-            if not read.any():
-                continue
-            chosen = read[blocks]
-            own = entries[chosen]
-            postings, sizes = _ranges(self.starts[own], self.starts[own + 1])
-            values = np.repeat(weights[chosen], sizes) * self.weights[postings]
-            low = np.bincount(self.examples[postings], values, len(self.keys))
-            sums = (low + frequent) * np.repeat(read, BLOCK)[: len(self.keys)]
+        sums = self._sums(terms, weights, frequent, k, without)
+        least = np.partition(sums, -k)[-k] - 2 * ERROR if len(sums) > k else 0.0
+        found = np.flatnonzero((sums >= least) & (sums > 0))
+        self.query[terms] = weights
+        cosines = np.minimum(np.round(self._exact(found), 12), 1.0)
+        self.query[terms] = 0
+        best = np.lexsort((self.keys[found], -cosines))[:k]
+        return found[best], cosines[best]
+
+    def _sums(self, terms: np.ndarray, weights: np.ndarray, frequent: np.ndarray, k: int, without: int) -> np.ndarray:
+        """Sums for all examples, whole ones in the blocks that can hold one of the k best."""
+        sums, n, low = frequent, len(self.keys), weights.astype(np.float32)
+        rows = self.long[terms]
+        short = np.flatnonzero((rows < 0) & (self.rows[terms] < 0))
+        at, sizes = _ranges(self.entries[terms[short]], self.entries[terms[short] + 1])
+        if len(at):
+            read = self.postings[at]
+            sums = sums + np.bincount(read["example"], read["weight"] * np.repeat(low[short], sizes), n)
+        if without >= 0:
+            sums[without] = 0
+        rows, low = rows[rows >= 0], low[rows >= 0]
+        if len(rows):
+            stripes = np.maximum.reduceat(sums, np.arange(0, n, STRIPE))
+            floor = np.partition(stripes, -k)[-k] - ERROR if len(stripes) > k else 0.0
+            bounds = np.maximum.reduceat(sums, self.blocks) + low @ self.maxima[rows]
+            reached = np.flatnonzero(np.diff(np.r_[False, bounds >= floor, False]))
+            spans = [self.starts[rows[:, None], reached[i::2]].ravel() for i in (0, 1)]
+            weights, sizes = np.repeat(low, len(reached) // 2), spans[1] - spans[0]
+            if len(sizes):
+                whole = self.postings.view(np.int64)  # quicker to cut up than a structure
+                read = np.concatenate([whole[a:b] for a, b in zip(spans[0].tolist(), spans[1].tolist())]).view(POSTING)
+                sums = sums + np.bincount(read["example"], read["weight"] * np.repeat(weights, sizes), n)
             if without >= 0:
                 sums[without] = 0
-            least = np.partition(sums, -k)[-k] - 2 * ERROR if len(sums) > k else 0.0
-            new = np.flatnonzero((sums >= least) & (sums > 0))
-            exact = low[new] + high @ self.dense[np.ix_(rows, new)]
-            found, cosines = np.r_[found, new], np.r_[cosines, np.minimum(np.round(exact, 12), 1.0)]
-            best = np.lexsort((self.keys[found], -cosines))[:k]
-            found, cosines = found[best], cosines[best]
-        return found, cosines
+        return sums
 
 
 class Model:
@@ -305,8 +377,8 @@ class Model:
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray, float, list[tuple[str, int]]]:
         """Indexed terms and their weights, the square of the vector's length so far, and the words not broadcast."""
         held = self.terms.of(text)
-        numbers = np.fromiter((self.numbers.get(term, -1) for term in held), np.int64, len(held))
-        weights = 1 + np.log(np.fromiter(held.values(), np.float64, len(held)))
+        numbers = np.array(list(map(self.numbers.get, held, repeat(-1))), np.int64)
+        weights = 1 + np.log(np.array(list(held.values()), np.float64))
         rest = [(term, n) for (term, n), i in zip(held.items(), numbers.tolist()) if i < 0] if numbers.min(initial=0) < 0 else []
         numbers, weights = numbers[numbers >= 0], weights[numbers >= 0]
         weights = weights * self.idf[numbers]
@@ -328,7 +400,7 @@ class Model:
             spans, terms = self.part(2), self.part(3)
             weights = (1 + np.log(self.part(4))) * self.idf[terms]
             for a, b in zip(spans[:-1].tolist(), spans[1:].tolist()):
-                weights[a:b] /= np.linalg.norm(weights[a:b]) or 1.0
+                weights[a:b] /= math.sqrt(weights[a:b] @ weights[a:b]) or 1.0
             self.made = BlockMaxIndex.laid_out(self.part(0), self.part(1), spans, terms, weights, self.n_terms)
         return self.made
 
@@ -383,6 +455,17 @@ class Model:
         return self.judged(self.index.labels[examples], cosines), self.index.keys[examples].tolist(), cosines.tolist()
 
 
+def principal(spans: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Where each example lies in the direction in which the weights of the frequent terms, those numbered first, differ most."""
+    squares = np.add.reduceat(np.append(weights**2, 0), spans[:-1]) * (np.diff(spans) > 0)
+    examples, own = np.repeat(np.arange(len(spans) - 1, dtype=np.int32), np.diff(spans)), terms < DENSE
+    held = np.zeros((len(spans) - 1, DENSE), np.float32)
+    held[examples[own], terms[own]] = weights[own]
+    held /= np.sqrt(np.maximum(squares, 1e-9))[:, None]
+    held -= held.mean(0)
+    return held @ np.linalg.eigh(held.T @ held)[1][:, -1]
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """A model of the labels given; the driver sees the sample's vectors and the frequent words."""
     sparkContext = docs.sparkSession.sparkContext
@@ -408,9 +491,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     plain = examples.select(F.col("_key").cast("long"), F.col("_label").cast("long"), "_hash", "_text")
     rows = plain.mapInArrow(run, schema).toArrow()
     shared.destroy()
-    # examples of the same rarest term stand together, which keeps the blocks' maxima apart
-    leading = pa.array([max(t, key=lambda i: (model.idf[i], i), default=-1) for c in rows.column("t").chunks for t in map(pa.ListScalar.as_py, c)])
-    order = np.lexsort((rows.column("h").to_numpy(), rows.column("k").to_numpy(), leading.to_numpy()))
+    # like examples stand together, which keeps the blocks' maxima apart; the terms of small numbers are the frequent ones
+    rows = rows.sort_by([("k", "ascending"), ("h", "ascending")]).combine_chunks()
+    terms, times = (pa.concat_arrays(rows.column(c).chunks) for c in "tn")
+    weights = (1 + np.log(times.values.to_numpy().astype(np.float32))) * model.idf.astype(np.float32)[terms.values.to_numpy()]
+    order = np.argsort(principal(terms.offsets.to_numpy(), terms.values.to_numpy(), weights), kind="stable")
+    del weights
     rows = rows.take(pa.array(order)).combine_chunks()
     terms, times = (pa.concat_arrays(rows.column(c).chunks) for c in "tn")
     spans = terms.offsets.to_numpy()
@@ -453,15 +539,19 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     schema = T.StructType([*kept, *searched])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, pairs = 0, pa.list_(pa.struct([("item", pa.string()), ("n", pa.int64())]))
+        first = 0
         for batch, texts in text_batches(batches, text):
             vectors = [shared.value.vector(t) for t in texts]
             found = shared.value.nearest([v[:2] for v in vectors])
-            rests = [[{"item": word, "n": n} for word, n in v[3]] for v in vectors]
+            others = [pair for v in vectors for pair in v[3]]
+            pairs = pa.StructArray.from_arrays(
+                [pa.array([word for word, _ in others], pa.string()), pa.array([n for _, n in others], pa.int64())], names=["item", "n"]
+            )
+            rests = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(v[3]) for v in vectors)]), pa.int32()), pairs)
             made = [
                 pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float64())),
                 pa.array([f[2] for f in found], pa.float64()), pa.array([v[2] for v in vectors], pa.float64()),
-                pa.array(row_keys(len(texts), first), pa.int64()), pa.array(rests, pairs),
+                pa.array(row_keys(len(texts), first), pa.int64()), rests,
             ]
             first += len(texts)
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *made], names=schema.names)

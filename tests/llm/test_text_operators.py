@@ -342,6 +342,53 @@ def test_votes_need_neither_the_words_nor_copies_of_the_vectors():
     assert own.numbers == model.numbers
 
 
+def test_search_reads_only_blocks_that_can_hold_the_nearest(monkeypatch):
+    monkeypatch.setattr(toxicity, "DENSE", 80)
+    monkeypatch.setattr(toxicity, "BLOCK", 32)
+    monkeypatch.setattr(toxicity, "STRIPE", 16)
+    monkeypatch.setattr(toxicity, "SHORT", 20)
+    random, n, n_terms = np.random.default_rng(8), 640, 300
+    vectors = []
+    for i in range(n):
+        # two languages that share few terms, in one half of the examples each
+        first = 0 if i < n // 2 else 150
+        terms = np.unique(np.r_[first + random.integers(0, 60, 25), first + random.integers(60, 150, 6), random.integers(0, n_terms, 4)])
+        weights = random.random(len(terms)).round(1) + 0.1
+        vectors.append((terms, weights / np.linalg.norm(weights)))
+    keys = random.permutation(n)
+    index = toxicity.BlockMaxIndex(keys, np.zeros(n, np.int64), vectors, n_terms)
+    assert len(index.maxima) and (np.diff(index.entries)[index.rows < 0] <= 20).any()
+    dense = np.zeros((n, n_terms))
+    for row, (terms, weights) in enumerate(vectors):
+        dense[row, terms] = weights
+    whole = 0
+    for without in (-1, 3, 500):
+        for i, (terms, weights) in enumerate(vectors[::7]):
+            cosines = np.minimum(np.round(dense @ dense[i * 7], 12), 1)
+            cosines[np.arange(n) == without] = 0
+            order = [j for j in np.lexsort((keys, -cosines)) if cosines[j] > 0][:10]
+            found, values = index.nearest(terms, weights, 10, without)
+            assert np.allclose(values, cosines[order], atol=1e-11) and np.allclose(cosines[found], cosines[order], atol=1e-11)
+            sums = index._sums(terms, weights, index.frequent([(terms, weights)])[0], 10, without)
+            whole += np.mean(np.abs(sums - cosines) < 1e-4)
+    # an example whose block was not read lacks what its long terms add
+    assert whole < 3 * len(vectors[::7]) - 5
+    assert not index.query.any()
+
+
+def test_words_and_held_terms_are_those_of_the_plain_rules():
+    for text in ("", "Ab-c_d 9x\x00Y\x1fz 'tis", "Größe, İstanbul ΑΣ und Ab", "日本 a1b\u0301c \x85x", "K\u212a"):
+        assert toxicity.letter_words(text) == toxicity.LETTERS.findall(text.lower())
+    held, plain = toxicity.HeldTerms(), Counter()
+    for text in ("idiotic idiots and idiotically", "an idiot, idiotic", "", "andante and and"):
+        held.add(text)
+        counts = Counter()
+        for word in toxicity.LETTERS.findall(text):
+            counts.update(toxicity.word_bases(word))
+        plain.update({term for base, n in counts.items() for least, term in toxicity.base_terms(base) if n >= least})
+    assert held.totals() == plain
+
+
 def test_toxicity_hard_cases(spark, hard, none):
     labels = lambda rows: spark.createDataFrame(rows, "doc_id long, toxic int")
     for given, share in (([], 0.0), ([(4, 0), (5, 0)], 0.0), ([(4, 1), (5, None), (None, None)], 1.0)):
