@@ -25,7 +25,9 @@ from __future__ import annotations
 import base64
 import json
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -81,7 +83,8 @@ def encoded(words: Column, ranks: dict[bytes, int]) -> Column:
             return F.try_element_at(F.get(table, (F.crc32(piece) % SLOTS).cast("int")), piece)
 
         def pieces(marked: Column) -> Column:
-            return F.split(F.substring(marked, F.lit(2), F.length(marked) - 2), CLOSE + OPEN)
+            # at a single character, which needs no regular expression
+            return F.split(F.replace(F.substring(marked, F.lit(1), F.length(marked) - 1), F.lit(OPEN), F.lit("")), CLOSE)
 
         def merge(marked: Column, parts: Column, found: Column) -> Column:
             def joined(at: Column) -> Column:
@@ -120,7 +123,7 @@ def word_totals(docs: DataFrame, pattern: str, text: str = "text") -> DataFrame:
     """(piece, total) of the words of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, counts = regex.compile(pattern).findall, {}
+        split, counts = regex.compile(pattern).findall, Counter()
 
         def counted() -> pa.RecordBatch:
             columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
@@ -128,8 +131,7 @@ def word_totals(docs: DataFrame, pattern: str, text: str = "text") -> DataFrame:
 
         for _, texts in text_batches(batches, text):
             for t in texts:
-                for word in split(t):
-                    counts[word] = counts.get(word, 0) + 1
+                counts.update(split(t))
                 if len(counts) >= KEPT:
                     yield counted()
                     counts.clear()
@@ -164,7 +166,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
             for t in texts:
                 found, own = split(t), {}
                 # a frequent word by its number, another as -1, -2, .. in the order of the document
-                at = np.array([number[w] if w in number else -1 - own.setdefault(w, len(own)) for w in found], np.int64)
+                at = np.array(list(map(number.get, found, repeat(-1))), np.int64)
+                others_at = np.flatnonzero(at < 0)
+                at[others_at] = [-1 - own.setdefault(found[i], len(own)) for i in others_at.tolist()]
                 ids, breaks = _spread(at, starts, sizes, flat)
                 parts.append(ids)
                 ends.append(size + np.append(breaks, len(ids)))

@@ -76,6 +76,15 @@ def test_frequent_words_go_in_runs_between_the_others(spark, ranks_path):
     assert "exists(" not in byte_bpe.decode(odd, ranks_path)._jdf.queryExecution().analyzed().toString()
 
 
+def test_pieces_are_split_at_one_character(spark):
+    """Java splits at one character without a regular expression; at two it compiles one each time."""
+    frame = spark.createDataFrame([(["aab", "c", "abcab"],)], "words array<string>")
+    ids = frame.select(byte_bpe.encoded(F.col("words"), {b"a": 0, b"b": 1, b"c": 2, b"ab": 3}).alias("ids"))
+    plan = ids._jdf.queryExecution().analyzed().toString()
+    assert f", {byte_bpe.CLOSE}, -1)" in plan and f", {byte_bpe.CLOSE}{byte_bpe.OPEN}, -1)" not in plan
+    assert ids.first().ids == [[0, 3], [2], [3, 2, 3]]
+
+
 def test_equal_pairs_merge_from_the_left(spark):
     ranks = {bytes([c]): i for i, c in enumerate(b"abc")} | {b"aa": 3, b"aab": 4, b"bc": 5}
     frame = spark.createDataFrame([(["aaa", "aaab", "aabc", ""],)], "words array<string>")
