@@ -2,13 +2,14 @@
 
 import os
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from calloom.operators import attribution as att, keyed
 from calloom.operators.ordered import hours, ordered
-from calloom.session import checkpoint_dir, stage
+from calloom.session import checkpoint_dir, folder_exists, stage, stage_of
 from checks import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -94,3 +95,36 @@ def test_stages_live_in_the_checkpoint_folder(spark):
     rows = stage(spark.range(10).withColumn("k", F.col("id") % 3))
     assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert checkpoint_dir(spark) in rows.inputFiles()[0] and rows.count() == 10
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while found.hasNext():
+        names.add(found.next().getName())
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_a_stage_frees_what_was_shuffled_for_it(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, kept = shuffle_files(spark), spark.conf.get(name)
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("n"))
+    done = [stage(rows), stage(rows)]
+    for _ in range(50):  # they go in the background
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(name) == kept
+    assert [copy.agg(F.sum("n")).first()[0] for copy in done] == [499500, 499500]
+
+
+def test_a_stage_of_steps_leaves_its_result_only(spark):
+    made = []
+
+    def build():
+        rows = stage(spark.range(10))
+        made.append(os.path.dirname(rows.inputFiles()[0]))
+        return rows.withColumn("n", F.col("id") * 2)
+
+    assert stage_of(spark, build).agg(F.sum("n")).first()[0] == 90
+    assert not folder_exists(spark, made[0])
