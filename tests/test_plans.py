@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from calloom.operators import attribution as att, keyed
 from calloom.operators.ordered import hours, ordered
+from calloom.operators.spine import entity_spine, pack_months
 from calloom.session import checkpoint_dir, folder_exists, stage, stage_of
 from checks import catalog
 
@@ -128,3 +129,20 @@ def test_a_stage_of_steps_leaves_its_result_only(spark):
 
     assert stage_of(spark, build).agg(F.sum("n")).first()[0] == 90
     assert not folder_exists(spark, made[0])
+
+def test_agents_by_dates_are_not_shuffled(spark):
+    text = plan(catalog.QUERIES["r07_agent_performance"](spark, SF_DIR))
+    above, spread, _ = text.partition("Generate inline")
+    assert spread and "hashpartitioning" not in above
+
+
+def test_packed_facts_meet_a_spine_as_joined_ones(spark, table):
+    agents = table("a string, m int", ["x", 1], ["x", 2], ["y", 3], [None, 4])
+    facts = table("a string, date date, n int, h double", ["x", "2021-01-31", 1, 0.5], ["x", "2021-02-01", None, 1.5],
+                  ["x", "2021-02-01", 2, None], ["z", "2021-02-01", 9, 9.0], ["x", "2021-03-03", 9, 9.0],
+                  ["x", "2021-01-29", 9, 9.0], [None, "2021-02-01", 9, 9.0], ["y", None, 9, 9.0])
+    for first, last in (("2021-01-30", "2021-03-02"), ("2021-02-01", "2021-02-01"), ("2021-02-02", "2021-02-01")):
+        want = entity_spine(agents, first, last).join(facts, ["a", "date"], "left")
+        got = entity_spine(agents, first, last, facts=pack_months(facts, "a"), on="a").select(*want.columns)
+        assert got.dtypes == want.dtypes
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
