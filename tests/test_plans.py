@@ -130,6 +130,7 @@ def test_a_stage_of_steps_leaves_its_result_only(spark):
     assert stage_of(spark, build).agg(F.sum("n")).first()[0] == 90
     assert not folder_exists(spark, made[0])
 
+
 def test_agents_by_dates_are_not_shuffled(spark):
     text = plan(catalog.QUERIES["r07_agent_performance"](spark, SF_DIR))
     above, spread, _ = text.partition("Generate inline")
@@ -146,3 +147,16 @@ def test_packed_facts_meet_a_spine_as_joined_ones(spark, table):
         got = entity_spine(agents, first, last, facts=pack_months(facts, "a"), on="a").select(*want.columns)
         assert got.dtypes == want.dtypes
         assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_the_forecast_joins_written_facts(spark, table):
+    from calloom.plans.demand_forecast import actuals
+    from calloom.sources import Tables
+    from checks.domain import domain
+
+    calls = table("agent_name string, call_id long, call_type string, interaction_flag int, call_date date",
+                  ["Ann", 1, "Outbound", 1, "1999-03-01"])
+    days = actuals(domain(Tables(spark, SF_DIR)), calls, "2000-06-01", "1995-01-01", 12, None)
+    # one fact's shuffles at a time: each is a small table before the next is made
+    assert "lineitem.parquet" not in plan(days)
+    assert days.filter("date = '1999-03-01'").first().act_outbound_calls_reached == 1
