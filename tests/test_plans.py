@@ -160,3 +160,22 @@ def test_the_forecast_joins_written_facts(spark, table):
     # one fact's shuffles at a time: each is a small table before the next is made
     assert "lineitem.parquet" not in plan(days)
     assert days.filter("date = '1999-03-01'").first().act_outbound_calls_reached == 1
+
+
+def test_a_capacity_plan_leaves_its_reports_only(spark):
+    from calloom import plans
+    from calloom.sources import Tables
+    from checks.domain import AS_OF, START, domain
+
+    d, before = domain(Tables(spark, SF_DIR)), shuffle_files(spark)
+    with plans.shared_reports(spark) as reports:
+        calls = reports.get(plans.call_performance, d)
+        forecast = reports.get(plans.demand_forecast, d, performance=calls, as_of=AS_OF, start=START)
+        workforce = reports.get(plans.workforce_days, d, as_of=AS_OF, start=START)
+        rows = plans.capacity_plan(d, forecast, workforce, AS_OF)
+        for _ in range(50):  # they go in the background
+            if not (left := shuffle_files(spark) - before):
+                break
+            time.sleep(0.2)
+        assert not left and len(os.listdir(reports.folder.removeprefix("file:"))) == 3
+        assert rows.count() == 31
